@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from loamsift.llm import chat_format, packing
+from loamsift.llm import chat_format, packing, warc_zstd
 
 QUERIES = {
+    "op3_warc": warc_zstd.op3_warc,
     "op8_packing": packing.op8_packing,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_warc": warc_zstd.ORACLE,
     "op9_chat_formatting": chat_format.ORACLE,
 }
