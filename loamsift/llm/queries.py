@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from loamsift.llm import chat_format, packing, warc_zstd
+from loamsift.llm import chat_format, language_id, packing, quality_nbsvm, warc_zstd
 
 QUERIES = {
+    "op2_quality_classifier": quality_nbsvm.op2_quality_classifier,
     "op3_warc": warc_zstd.op3_warc,
+    "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
 }
