@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from loamsift.llm import chat_format, language_id, packing, quality_nbsvm, warc_zstd
+from loamsift.llm import chat_format, decontaminate, language_id, license_scan, packing, quality_nbsvm, warc_zstd
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
     "op2_quality_classifier": quality_nbsvm.op2_quality_classifier,
     "op3_warc": warc_zstd.op3_warc,
+    "op5_decontamination": decontaminate.op5_decontamination,
     "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
@@ -14,5 +16,6 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_warc": warc_zstd.ORACLE,
+    "op5_decontamination": decontaminate.ORACLE,
     "op9_chat_formatting": chat_format.ORACLE,
 }
