@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from loamsift.llm import chat_format, decontaminate, language_id, license_scan, packing, quality_nbsvm, warc_zstd
+from loamsift.llm import chat_format, decontaminate, language_id, license_scan, packing, quality_nbsvm, suffix_dedup, warc_zstd
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -12,6 +12,7 @@ QUERIES = {
     "op7_language_id": language_id.op7_language_id,
     "op8_packing": packing.op8_packing,
     "op9_chat_formatting": chat_format.op9_chat_formatting,
+    "op10_suffix_array_dedup": suffix_dedup.op10_suffix_array_dedup,
 }
 
 ORACLES: dict[str, str] = {
