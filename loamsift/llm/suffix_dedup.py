@@ -260,7 +260,7 @@ def resolve_ends(contexts: DataFrame, length: int, partitions: int) -> DataFrame
             if len(salted):
                 # across salts a string is named without its salt
                 whole = C.mix(C.mix(col["core"].view(np.uint64)[member[salted]]) + C.span_hash(C.prefix_hash(raw, 1), offs[:-1][member[salted]] + k[salted], offs[:-1][member[salted]] + k[salted] + length, 1))
-                _, first = np.unique(whole, return_index=True)
+                _, first = np.unique(whole + C.mix(col["salt"].astype(np.uint64))[member[salted]], return_index=True)  # one for each salt
                 one = salted[first]
                 known = again[one] | (col["n"] > 1)[member[one]]
                 at = pa.array(start[one], pa.int32(), mask=known)
