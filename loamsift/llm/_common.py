@@ -179,3 +179,17 @@ def int_lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType | None =
 def rows_per_partition(df: DataFrame, per: int, most: int = 1 << 20) -> int:
     """How many partitions hold ``df`` with about ``per`` rows each; ``df`` should be a written table."""
     return max(1, min(most, -(-df.count() // per)))
+
+
+def _few(found: DataFrame, most: int) -> bool:
+    return found.limit(most + 1).count() <= most
+
+
+def with_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFrame:
+    """Inner join on ``key`` to a written table: broadcast if it has at most ``most`` rows, else both sides are shuffled."""
+    return rows.join(F.broadcast(found) if _few(found, most) else found, key)
+
+
+def without_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFrame:
+    """Rows whose ``key`` isn't in a written table, joined as in with_small."""
+    return rows.join(F.broadcast(found) if _few(found, most) else found, key, "left_anti")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from loamsift.llm import chat_format, decontaminate, hamming_search, language_id, license_scan, packing, quality_nbsvm, suffix_dedup, warc_zstd
+from loamsift.llm import chat_format, decontaminate, hamming_search, language_id, license_scan, ngram_join, packing, quality_nbsvm, suffix_dedup, warc_zstd
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_quality_classifier": quality_nbsvm.op2_quality_classifier,
     "op3_warc": warc_zstd.op3_warc,
+    "op4_ngram_jaccard": ngram_join.op4_ngram_jaccard,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_hamming_search": hamming_search.op6_hamming_search,
     "op7_language_id": language_id.op7_language_id,
