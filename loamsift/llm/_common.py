@@ -193,3 +193,20 @@ def with_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFr
 def without_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFrame:
     """Rows whose ``key`` isn't in a written table, joined as in with_small."""
     return rows.join(F.broadcast(found) if _few(found, most) else found, key, "left_anti")
+
+
+def passing(docs: DataFrame, text: str, change) -> DataFrame:
+    """``docs`` through ``change(batch, raw, offs) -> batch``, all columns kept; raw and offs are the bytes of ``text``, null as empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            at = batch.schema.get_field_index(text)
+            filled = batch.set_column(at, text, batch.column(at).fill_null(""))
+            done = 0
+            for part in slices(iter([filled]), text, 2 << 20):
+                yield change(batch.slice(done, part.num_rows), *string_bytes(part.column(at)))
+                done += part.num_rows
+
+    return docs.mapInArrow(run, docs.schema)

@@ -150,6 +150,18 @@ def find_in_shard(raw: np.ndarray, offs: np.ndarray, block: TestBlock) -> tuple[
     return words, back, need[which], block.item[live][which]
 
 
+def test_blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[TestBlock]:
+    """The test items in blocks of about ``block_bytes``, dealt by a hash."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = max(1, -(-int(total) // block_bytes))
+    out = []
+    for b in range(blocks):
+        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
+        out.append(TestBlock.of([tuple(r) for r in mine.distinct().orderBy("item_id", "text").collect()], window))
+    return out
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document row: doc_id, n_words, spans (first word, word after the last, of each merged run of hit words), items (ids, sorted as strings).
 
@@ -157,14 +169,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WO
     texts have no words. An item without id counts as a hit but isn't listed; repeated items count once. Repeated document rows each get their row.
     A block of items has ``block_bytes`` at most, or one item; only so much is sent to the executors at once, and each block passes over all documents.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(total) // block_bytes))
-    parts = []
-    for b in range(blocks):
-        mine = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
-        parts.append(_one_block(docs, TestBlock.of([tuple(r) for r in mine.distinct().orderBy("item_id", "text").collect()], window)))
+    parts = [_one_block(docs, block) for block in test_blocks(benchmark, window, block_bytes)]
+    blocks = len(parts)
     if blocks == 1:
         return parts[0].drop("_text")
     out = parts[0]
@@ -211,10 +217,21 @@ def _one_block(docs: DataFrame, block: TestBlock) -> DataFrame:
     return own.mapInArrow(run, "doc_id long, n_words long, spans array<array<long>>, items array<string>, _text long")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
-    """``docs`` without the documents that hold a window of a test item; all their columns stay."""
-    hit = contamination(docs, benchmark, window).where(F.size("spans") > 0).select(F.col("doc_id").alias("_hit")).distinct()
-    return docs.join(hit, F.col("doc_id").cast("long").eqNullSafe(F.col("_hit")), "left_anti")
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW_WORDS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows that hold a window of a test item; all columns stay, and no row moves. Blocks of items filter one after another."""
+    for block in test_blocks(benchmark, window, block_bytes):
+        docs = C.passing(docs, "text", _clean_rows(docs.sparkSession.sparkContext.broadcast(block)))
+    return docs
+
+
+def _clean_rows(shared):
+    def change(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
+        words, place, _, _ = find_in_shard(raw, offs, shared.value)
+        clean = np.ones(batch.num_rows, bool)
+        clean[words.row()[place]] = False
+        return batch.filter(pa.array(clean))
+
+    return change
 
 
 def digest(found: DataFrame) -> DataFrame:

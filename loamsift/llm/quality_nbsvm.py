@@ -179,3 +179,13 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train(training_rows(docs, C.table(spark, sf_dir, "labels")))
     held = F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT, F.lit(False))
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def keep_good(docs: DataFrame, model: NaiveBayesSvm) -> DataFrame:
+    """``docs`` without the rows that the model scores under 0.5; all columns stay, and no row moves."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def change(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
+        return batch.filter(pa.array(shared.value.margins(*indicators(raw, offs)) >= 0))
+
+    return C.passing(docs, "text", change)

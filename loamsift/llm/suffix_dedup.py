@@ -393,18 +393,46 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, shard_
         for batch in C.slices(batches):
             raw, offs = C.string_bytes(batch.column("text"))
             data = raw.tobytes()
-            kept = []
-            for r, spans in enumerate(batch.column("spans").to_pylist()):
-                at, parts = int(offs[r]), []
-                for a, b in spans or ():
-                    parts.append(data[at : offs[r] + a])
-                    at = int(offs[r]) + b
-                kept.append(b"".join([*parts, data[at : offs[r + 1]]]))
+            kept = [_without(data[offs[r] : offs[r + 1]], spans or ()) for r, spans in enumerate(batch.column("spans").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept, pa.binary()), pa.array(np.diff(offs)), pa.array([x or [] for x in batch.column("spans").to_pylist()], pa.list_(pa.list_(pa.int32())))], names=["doc_id", "kept", "n_bytes", "spans"])
 
     return joined.select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, kept binary, n_bytes long, spans array<array<int>>")
 
 
+def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``docs`` with the repeated strings cut out of ``text``, n_chars following it; all columns stay.
+
+    Bytes of a character that is cut in two are left out. A null text stays null; a text that is removed as a whole is empty.
+    """
+    own = C.keyed_rows(docs).withColumn("text_key", F.xxhash64("text"))
+    spans = C.materialize(repeated_spans(own, length)).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("spans").alias("__spans"))
+    small = spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__t"))
+    joined = docs.join(F.broadcast(spans) if small else spans, same, "left").drop("__d", "__t")
+    names = docs.columns
+
+    def change(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
+        data, texts = raw.tobytes(), batch.column("text").to_pylist()
+        for r, found in enumerate(batch.column("__spans").to_pylist()):
+            if found:
+                texts[r] = _without(data[offs[r] : offs[r + 1]], found).decode("utf-8", "ignore")
+        cols = {c: batch.column(c) for c in [*names, "__spans"]}
+        cols["text"] = pa.array(texts, batch.schema.field("text").type)
+        if "n_chars" in cols:
+            cols["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field("n_chars").type)
+        return pa.RecordBatch.from_arrays(list(cols.values()), names=list(cols))
+
+    return C.passing(joined, "text", change).select(*names)
+
+
+def _without(text: bytes, spans: list) -> bytes:
+    at, parts = 0, []
+    for a, b in spans:
+        parts.append(text[at:a])
+        at = b
+    return b"".join([*parts, text[at:]])
+
+
 def digest(done: DataFrame) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x[1] - x[0])
     return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
