@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loamsift.llm import _common as C
+from loamsift.session import materialize
 
 MAX_ROUNDS = 60
 
@@ -32,7 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     own = edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v")).where("u <> v")
     mark = None
     for _ in range(MAX_ROUNDS):
-        own = C.materialize(_small_star(_large_star(own)).where("u <> v").distinct())
+        own = materialize(_small_star(_large_star(own)).where("u <> v").distinct())
         now = own.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break
