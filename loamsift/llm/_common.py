@@ -6,7 +6,6 @@ The kernels work on the buffers of Arrow string columns, a few megabytes at a ti
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loamsift.session import materialize, scratch_dir  # noqa: F401  (used as C.materialize)
+
 SLICE_BYTES = 4 << 20
 
 
@@ -21,22 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which driver and executors share."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base:  # only without a cluster, as in tests
-        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
-    return f"{base.rstrip('/')}/loamsift-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write a Parquet table into the shared scratch folder and read it back."""
-    spark = df.sparkSession
-    path = scratch_dir(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only (key, text), null text as the empty string: other columns, whatever their names, take no part."""
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))

@@ -3,10 +3,11 @@
 1. A document's set is the hashes of its distinct word n-grams. Equal sets are one class, whose smallest doc_id stands for it.
 2. Bounds by size: if two sets reach the threshold t, they share one of the first n - ceil(t n) + 1 n-grams of each in any common order. Rare n-grams come
    first (by a sketch of counts of fixed size over all documents), so common passages are not in these prefixes. Documents that share a prefix n-gram and whose sizes allow the
-   threshold are joined in stars, and connected components of those are the blocks: no pair across blocks can reach t.
-3. Each block (or pair of parts, if a block is large) multiplies its incidence with its transpose, which counts every overlap, discards the pairs
+   threshold are joined in stars; no pair across connected components of those can reach t.
+3. Within a component, parity bits of the sets (an odd sketch) bound every overlap from above. Pairs whose bits don't allow t are discarded; components of the rest are the blocks.
+4. Each block (or pair of parts, if a block is large) multiplies its incidence with its transpose, which counts every overlap, discards the pairs
    below the bound that their sizes give, and returns links enough to connect what is linked.
-4. Components of the links, smallest doc_id first.
+5. Components of the links, smallest doc_id first.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamsift.llm import _common as C
-from loamsift.llm.components import components
+from loamsift.operators.components import components
 
 WORDS = 5
 PERCENT = 75
@@ -30,6 +31,8 @@ SKETCH_CHUNK = 1 << 14
 HOT_GRAM = 20_000
 BLOCK_DOCUMENTS = 1_024
 BLOCK_GRAMS = 4 << 20
+BITS_DOCUMENTS = 4_096
+BITS_BYTES = 8 << 20
 BROADCAST_ROWS = 150_000
 SLICE = 2 << 20
 
@@ -58,25 +61,39 @@ def _sum_rows(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return total[first[1:]] - total[first[:-1]]
 
 
+def parity_bits(g: np.ndarray, first: np.ndarray) -> list[bytes]:
+    """For each set, bits that tell whether an odd number of its n-grams falls on them; twice to four times as many bits as n-grams, a power of two.
+
+    Two sets differ in at least as many n-grams as their bits differ in places, so bits bound the overlap from above.
+    """
+    where = C.mix(g + np.uint64(0x1234567))
+    out = []
+    for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
+        m = 1 << max(7, (b - a - 1).bit_length() + 1)
+        odd = np.bincount((where[a:b] & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+        out.append(np.packbits(odd.astype(bool), bitorder="little").tobytes())
+    return out
+
+
 def survey(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """kind 0: doc_id, n, and two sums (s1, s2) that name the set; kind 1: parts of a task's n-gram counts (chunk in n, counters in counts)."""
+    """kind 0: doc_id, n, two sums (s1, s2) that name the set, and its parity bits; kind 1: parts of a task's n-gram counts (chunk in n, counters in counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_LOG2, np.int64)
-        names = ["kind", "doc_id", "n", "s1", "s2", "counts"]
+        names = ["kind", "doc_id", "n", "s1", "s2", "bits", "counts"]
         for batch in C.slices(batches, limit=SLICE):
             g, first = shingle_sets(*C.string_bytes(batch.column("text")), k)
             counts += np.bincount((g >> np.uint64(64 - SKETCH_LOG2)).astype(np.int64), minlength=len(counts))
             n = len(first) - 1
             s1, s2 = _sum_rows(C.mix(g), first), _sum_rows(C.mix(g ^ np.uint64(0xA5A5A5A55A5A5A5A)), first)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column("doc_id"), pa.array(np.diff(first)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.nulls(n, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column("doc_id"), pa.array(np.diff(first)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(parity_bits(g, first), pa.binary()), pa.nulls(n, pa.binary())], names=names)
         for c in range(0, len(counts), SKETCH_CHUNK):
             part = counts[c : c + SKETCH_CHUNK]
             if part.any():
-                row = [pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([c // SKETCH_CHUNK], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([part.tobytes()], pa.binary())]
+                row = [pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([c // SKETCH_CHUNK], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([part.tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(row, names=names)
 
-    return docs.mapInArrow(run, "kind int, doc_id long, n long, s1 long, s2 long, counts binary")
+    return docs.mapInArrow(run, "kind int, doc_id long, n long, s1 long, s2 long, bits binary, counts binary")
 
 
 def sketch(surveyed: DataFrame) -> np.ndarray:
@@ -202,6 +219,80 @@ def join_salts(runs: DataFrame, percent: int) -> DataFrame:
     return runs.repartition("gram").sortWithinPartitions("gram", "low", "high", "u").mapInArrow(run, "u long, v long")
 
 
+def windows(members: DataFrame, most_documents: int, most_size: int, size: str, percent: int) -> DataFrame:
+    """``members`` (component, node, n, ...) dealt to blocks (component, window) and their parts (part of parts).
+
+    Sizes fall into classes whose bounds stand in the ratio of the threshold, so that two linked documents are in one class or in neighbouring ones; a window
+    is two neighbouring classes, and a document is in two windows. A window over ``most_documents`` or ``most_size`` is cut into parts by a hash.
+    """
+    step = F.floor(F.log(F.col("n")) / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+    both = members.withColumn("window", F.explode(F.array(step, step - 1)))
+    parts = F.greatest(F.ceil(F.count("*") / most_documents), F.ceil(F.sum(size) / most_size)).cast("int")
+    count = both.groupBy("component", "window").agg(parts.alias("parts"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    return both.join(count, ["component", "window"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+
+def near_bits(members: DataFrame, partitions: int, percent: int) -> DataFrame:
+    """(u, v): of the pairs in a block whose parity bits allow the threshold, links enough to connect what they connect.
+
+    ``members``: (component, window, part, parts, node, n, bits).
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, links = None, [], []
+        for batch in batches:
+            cols = ("component", "window", "a", "b", "part", "node", "n", "bits")
+            for c, w, a, b, part, node, n, bits in zip(*(batch.column(x).to_pylist() for x in cols), strict=True):
+                if (c, w, a, b) != key:
+                    if key:
+                        links += _near(held, key[2], key[3], percent)
+                    key, held = (c, w, a, b), []
+                held.append((part, node, n, bits))
+            if len(links) > 100_000:
+                yield edge_rows(links)
+                links = []
+        if key:
+            links += _near(held, key[2], key[3], percent)
+        yield edge_rows(links)
+
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    sent = members.withColumn("other", other).select("component", "window", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "node", "n", "bits")
+    dealt = sent.repartition(partitions, "component", "window", "a", "b").sortWithinPartitions("component", "window", "a", "b")
+    return dealt.mapInArrow(run, "u long, v long")
+
+
+def _near(held: list[tuple], left: int, right: int, percent: int) -> list[tuple[int, int]]:
+    if len(held) < 2:
+        return []
+    width = min(len(x[3]) for x in held)
+    bits = np.empty((len(held), width), np.uint8)
+    for i, x in enumerate(held):
+        own = np.frombuffer(x[3], np.uint8)
+        while len(own) > width:
+            own = own[: len(own) // 2] ^ own[len(own) // 2 :]
+        bits[i] = own
+    wide, part, n, node = bits.view(np.uint64), np.array([x[0] for x in held]), np.array([x[2] for x in held]), np.array([x[1] for x in held])
+    a, b = np.flatnonzero(part == left), np.flatnonzero(part == right)
+    if not len(a) or not len(b):
+        return []
+    linked = np.zeros((len(a), len(b)), bool)
+    for at in range(0, len(a), 64):
+        rows = a[at : at + 64]
+        apart = np.zeros((len(rows), len(b)), np.int64)
+        for w in range(wide.shape[1]):
+            apart += np.bitwise_count(wide[rows, w][:, None] ^ wide[b, w][None, :])
+        total = n[rows][:, None] + n[b][None, :]
+        linked[at : at + 64] = (apart * (100 + percent) <= (100 - percent) * total) & (np.minimum(n[rows][:, None], n[b][None, :]) * 100 >= percent * np.maximum(n[rows][:, None], n[b][None, :]))
+    if left == right:
+        np.fill_diagonal(linked, False)
+    return _forest(linked, node[a].tolist(), node[b].tolist(), left == right)
+
+
+def edge_rows(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    u, v = zip(*links, strict=True) if links else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+
 @dataclass
 class Member:
     node: int
@@ -301,56 +392,53 @@ def _forest(linked: np.ndarray, a: list[int], b: list[int], square: bool) -> lis
 
 
 def block_links(docs: DataFrame, blocks: DataFrame, partitions: int, percent: int, k: int) -> DataFrame:
-    """(u, v) links. ``blocks``: (doc_id, block, part, parts); each set goes to the pairs of parts of its block that hold its part."""
+    """(u, v) links. ``blocks``: (doc_id, places), places being structs (block, window, part, parts); each set goes to the pairs of parts that hold its part."""
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in C.slices(batches, limit=SLICE):
             g, first = shingle_sets(*C.string_bytes(batch.column("text")), k)
             out: list[tuple] = []
             size = 0
-            for r, (node, block, part, parts) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "block", "part", "parts")), strict=True)):
+            for r, (node, places) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("places").to_pylist(), strict=True)):
                 own = g[first[r] : first[r + 1]].tobytes()
-                for other in range(parts):
-                    out.append((block, min(part, other), max(part, other), part, node, own))
-                    size += len(own)
-                    if size > C.SLICE_BYTES:
-                        yield pack(out)
-                        out, size = [], 0
+                for x in places:
+                    for other in range(x["parts"]):
+                        out.append((x["block"], x["window"], min(x["part"], other), max(x["part"], other), x["part"], node, own))
+                        size += len(own)
+                        if size > C.SLICE_BYTES:
+                            yield pack(out)
+                            out, size = [], 0
             if out:
                 yield pack(out)
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["block", "a", "b", "part", "node", "grams"])
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["block", "window", "a", "b", "part", "node", "grams"])
 
     def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, members, links = None, [], []
         for batch in batches:
-            for block, a, b, part, node, grams in zip(*(batch.column(c).to_pylist() for c in ("block", "a", "b", "part", "node", "grams")), strict=True):
-                if (block, a, b) != key:
+            for block, w, a, b, part, node, grams in zip(*(batch.column(c).to_pylist() for c in ("block", "window", "a", "b", "part", "node", "grams")), strict=True):
+                if (block, w, a, b) != key:
                     if key:
-                        links += product(members, key[1], key[2], percent)
-                    key, members = (block, a, b), []
+                        links += product(members, key[2], key[3], percent)
+                    key, members = (block, w, a, b), []
                 if not members or members[-1].node != node:
                     members.append(Member(node, part, np.frombuffer(grams, np.uint64)))
             if len(links) > 100_000:
-                yield edges(links)
+                yield edge_rows(links)
                 links = []
         if key:
-            links += product(members, key[1], key[2], percent)
-        yield edges(links)
-
-    def edges(links: list[tuple[int, int]]) -> pa.RecordBatch:
-        u, v = zip(*links, strict=True) if links else ((), ())
-        return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+            links += product(members, key[2], key[3], percent)
+        yield edge_rows(links)
 
     found = C.with_small(docs, blocks, "doc_id", BROADCAST_ROWS)
-    shipped = found.mapInArrow(ship, "block long, a int, b int, part int, node long, grams binary")
-    dealt = shipped.repartition(partitions, "block", "a", "b").sortWithinPartitions("block", "a", "b", "node")
+    shipped = found.mapInArrow(ship, "block long, window int, a int, b int, part int, node long, grams binary")
+    dealt = shipped.repartition(partitions, "block", "window", "a", "b").sortWithinPartitions("block", "window", "a", "b", "node")
     return dealt.mapInArrow(multiply, "u long, v long")
 
 
-def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int = HOT_GRAM, block_documents: int = BLOCK_DOCUMENTS) -> DataFrame:
+def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int = HOT_GRAM, block_documents: int = BLOCK_DOCUMENTS, bits_documents: int = BITS_DOCUMENTS) -> DataFrame:
     """Per document row: doc_id, n_shingles, class_id (the smallest doc_id of an equal set) and component_id (the smallest doc_id reachable).
 
     Words are runs of bytes other than ASCII white space, A-Z lowered. A null or blank text has no n-grams, and is alone. Repeated rows each get their row. Rows
@@ -361,22 +449,23 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int =
     surveyed = C.materialize(survey(own, words))
     rows = surveyed.where("kind = 0").drop("kind", "counts")
     full = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = C.materialize(full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node")))
-    copies = C.materialize(full.join(classes, ["s1", "s2", "n"]).where("doc_id <> node").select("doc_id").distinct())
+    classes = C.materialize(full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.min("bits").alias("bits")))
+    copies = C.materialize(full.drop("bits").join(classes.drop("bits"), ["s1", "s2", "n"]).where("doc_id <> node").select("doc_id").distinct())
     chosen = C.without_small(own.where("doc_id IS NOT NULL"), copies, "doc_id", BROADCAST_ROWS)
     index = prefix_index(chosen, sketch(surveyed), percent, words, hot)
     starred = C.materialize(stars(index, partitions, percent))
     near = starred.where("gram IS NULL").select("u", "v").unionByName(join_salts(starred.where("gram IS NOT NULL"), percent)).distinct()
-    candidates = C.materialize(components(C.materialize(near)))
-    sizes = classes.groupBy("node").agg(F.max("n").alias("n"))
-    sized = candidates.join(sizes, "node")
-    parts = F.greatest(F.ceil(F.count("*") / block_documents), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int")
-    blocks = sized.join(sized.groupBy("component").agg(parts.alias("parts")), "component")
-    blocks = blocks.select(F.col("node").alias("doc_id"), F.col("component").alias("block"), F.pmod(F.xxhash64("node"), F.col("parts")).cast("int").alias("part"), "parts")
-    links = C.materialize(block_links(own, C.materialize(blocks), partitions, percent, words))
+    sizes = classes.groupBy("node").agg(F.max("n").alias("n"), F.max_by("bits", "n").alias("bits"))
+    candidates = components(C.materialize(near)).join(sizes, "node")
+    dealt = windows(candidates.withColumn("size", F.octet_length("bits")), bits_documents, BITS_BYTES, "size", percent)
+    closer = components(C.materialize(near_bits(dealt, partitions, percent).distinct()))
+    blocks = windows(closer.join(sizes.drop("bits"), "node"), block_documents, BLOCK_GRAMS, "n", percent)
+    place = F.struct(F.col("component").alias("block"), "window", "part", "parts")
+    blocks = C.materialize(blocks.groupBy(F.col("node").alias("doc_id")).agg(F.collect_set(place).alias("places")))
+    links = C.materialize(block_links(own, blocks, partitions, percent, words))
     groups = components(links)
     named = classes.join(groups, "node", "left").select("s1", "s2", "n", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"))
-    out = rows.join(named, ["s1", "s2", "n"], "left")
+    out = rows.drop("bits").join(named, ["s1", "s2", "n"], "left")
     alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"), alone.alias("component_id"))
 
