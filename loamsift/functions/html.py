@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from loamsift.functions import patterns as P
 from loamsift.functions.text import strip
@@ -122,14 +123,14 @@ def extract_text(page: str | bytes | None) -> str | None:
     return reader.text()
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _extracted(pages: pd.Series) -> pd.Series:
     return pages.map(extract_text, na_action="ignore")
 
 
 def extract(page: Column) -> Column:
-    """extract_text as a column over strings or binaries."""
-    return _extracted(page)
+    """extract_text as a column over strings or binaries; evaluated once, whatever filters follow."""
+    return _extracted.asNondeterministic()(page)
 
 
 def extracted_or_original(text: Column) -> Column:

@@ -9,6 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
 from loamsift.functions import patterns as P
 
@@ -46,7 +47,7 @@ def normalize_text(text: str) -> str:
     return " ".join((plain if plain.isascii() else _NOT_WORD.sub("", plain)).split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _normalized(texts: pd.Series) -> pd.Series:
     return texts.map(normalize_text, na_action="ignore")
 
@@ -56,6 +57,16 @@ def normalize(text: Column) -> Column:
     return _normalized(text)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _normalized_words(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: normalize_text(t).split(), na_action="ignore")
+
+
+def normalized_words(text: Column) -> Column:
+    """Words of the normalised text. They come from Python as an array, so no later expression splits a text again."""
+    return _normalized_words(text)
+
+
 def word_ngrams(own: Column, n: int) -> Column:
     """Distinct n-grams of an array of words; with fewer words one of all of them; without words none."""
     many = F.transform(F.sequence(F.lit(1), F.size(own) - n + 1), lambda i: F.array_join(F.slice(own, i, n), " "))

@@ -94,6 +94,7 @@ def scored(spark: SparkSession, model: Model, body: Column, empty: tuple[str, fl
             score[has] = np.clip(p[np.arange(len(has)), best], 0.0, 1.0)
         return pd.DataFrame({"label": label, "score": score})
 
+    run = run.asNondeterministic()  # so that the optimiser doesn't repeat it in filters pushed below
     given = F.when(F.coalesce(body, F.lit("")) != "", body)
     return F.when(given.isNull(), F.struct(F.lit(empty[0]).alias("label"), F.lit(empty[1]).alias("score"))).otherwise(run(given))
 

@@ -41,8 +41,8 @@ def shingled(docs: DataFrame, s: Settings, key: str = "doc_id", column: str = "t
     """(id, shingles): of the normalised text, which is cut to ``max_words`` first. Null texts are left out, or empty."""
     own = docs.where(F.col(column).isNotNull()) if s.drop_null else docs.withColumn(column, F.coalesce(column, F.lit("")))
     body = text.truncate_words(F.col(column), s.max_words) if s.max_words else F.col(column)
-    normal = own.select(F.col(key).cast("long").alias("id"), text.normalize(body).alias("t"))
-    return normal.select("id", text.word_ngrams(F.when(F.col("t") == "", F.array().cast("array<string>")).otherwise(F.split("t", " ")), s.ngrams).alias("shingles"))
+    cut = own.select(F.col(key).cast("long").alias("id"), text.normalized_words(body).alias("w"))
+    return cut.select("id", text.word_ngrams(F.col("w"), s.ngrams).alias("shingles"))
 
 
 def classes(sets: DataFrame) -> DataFrame:

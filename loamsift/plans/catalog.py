@@ -5,6 +5,499 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+from loamsift.functions import gopher as G
+from loamsift.functions import html, minhash, pii, text
+from loamsift.functions import patterns as P
+from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling
+from loamsift.plans import curation
+from loamsift.sources import readers, sinks, warc
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def add(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+def quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+# ---- Gopher ----------------------------------------------------------------------------------------------------
+
+_STOPS = ", ".join(map(quoted, P.STOP_WORDS))
+GOPHER_SQL = rf"""
+cut AS (SELECT doc_id, text, regexp_extract_all(text, {quoted(P.GOPHER_TOKEN)}) AS tokens,
+  list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS lines FROM documents),
+word AS (SELECT *, list_filter(tokens, lambda t: regexp_matches(t, '[A-Za-z]')) AS words FROM cut),
+metric AS (SELECT doc_id, text,
+  len(words)::BIGINT AS word_count,
+  CASE WHEN len(words) > 0 THEN length(array_to_string(words, ''))::DOUBLE / len(words) ELSE 0.0::DOUBLE END AS mean_word_length,
+  CASE WHEN len(words) > 0 THEN (length(text) - length(replace(text, '#', '')))::DOUBLE / len(words) ELSE 0.0::DOUBLE END AS hash_ratio,
+  CASE WHEN len(words) > 0 THEN ((length(text) - length(replace(text, '...', ''))) // 3 + length(text) - length(replace(text, '…', '')))::DOUBLE / len(words) ELSE 0.0::DOUBLE END AS ellipsis_ratio,
+  CASE WHEN len(lines) > 0 THEN len(list_filter(lines, lambda x: regexp_matches(x, '^' || {quoted(P.BULLET)})))::DOUBLE / len(lines) ELSE 0.0::DOUBLE END AS bullet_line_ratio,
+  CASE WHEN len(lines) > 0 THEN len(list_filter(lines, lambda x: ends_with(x, '...') OR ends_with(x, '…')))::DOUBLE / len(lines) ELSE 0.0::DOUBLE END AS ellipsis_line_ratio,
+  CASE WHEN len(tokens) > 0 THEN len(words)::DOUBLE / len(tokens) ELSE 0.0::DOUBLE END AS alphabetic_word_ratio,
+  len(list_distinct(list_filter(list_transform(words, lambda t: lower(t)), lambda t: list_contains([{_STOPS}], t))))::BIGINT AS stop_word_count
+  FROM word),
+checked AS (SELECT *, list_filter([
+  CASE WHEN word_count < 50 OR word_count > 100000 THEN 'word_count' END,
+  CASE WHEN mean_word_length < 3 OR mean_word_length > 10 THEN 'mean_word_length' END,
+  CASE WHEN hash_ratio > 0.1::DOUBLE THEN 'hash_ratio' END,
+  CASE WHEN ellipsis_ratio > 0.1::DOUBLE THEN 'ellipsis_ratio' END,
+  CASE WHEN bullet_line_ratio > 0.9::DOUBLE THEN 'bullet_line_ratio' END,
+  CASE WHEN ellipsis_line_ratio > 0.3::DOUBLE THEN 'ellipsis_line_ratio' END,
+  CASE WHEN alphabetic_word_ratio < 0.8::DOUBLE THEN 'alphabetic_word_ratio' END,
+  CASE WHEN stop_word_count < 2 THEN 'stop_word_count' END], lambda x: x IS NOT NULL) AS failed FROM metric)
+"""
+
+
+@query(f"WITH {GOPHER_SQL} SELECT doc_id, {', '.join(G.METRICS)} FROM metric")
+def gopher_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.with_metrics(documents(spark, sf_dir)).select("doc_id", *G.METRICS)
+
+
+@query(f"WITH {GOPHER_SQL} SELECT doc_id, len(failed) = 0 AS passed, failed[1] AS reason, array_to_string(failed, ',') AS failed_checks FROM checked")
+def gopher_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.gopher(documents(spark, sf_dir)).select("doc_id", "passed", "reason", F.array_join("failed_checks", ",").alias("failed_checks"))
+
+
+@query(f"WITH {GOPHER_SQL} SELECT check_name, count(*)::BIGINT AS n FROM (SELECT unnest(failed) AS check_name FROM checked) GROUP BY check_name")
+def gopher_failed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.gopher(documents(spark, sf_dir)).select(F.explode("failed_checks").alias("check_name")).groupBy("check_name").agg(F.count("*").alias("n"))
+
+
+# ---- personal data ---------------------------------------------------------------------------------------------
+
+
+def _mask_sql(column: str, kind: str) -> str:
+    pattern, mark = pii.KINDS[kind]
+    return f"regexp_replace({column}, {quoted(pattern)}, '{mark}', 'g')"
+
+
+def _count_sql(column: str, kind: str) -> str:
+    return f"len(regexp_extract_all({column}, {quoted(pii.KINDS[kind][0])}))::BIGINT"
+
+
+def _mask_query(kind: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        masked, count = pii.mask(F.col("text"), kind)
+        return documents(spark, sf_dir).select("doc_id", masked.alias("masked"), count.alias("n"))
+
+    return run
+
+
+for _kind in pii.KINDS:
+    QUERIES[f"pii_mask_{_kind}"] = _mask_query(_kind)
+    ORACLES[f"pii_mask_{_kind}"] = f"SELECT doc_id, {_mask_sql('text', _kind)} AS masked, {_count_sql('text', _kind)} AS n FROM documents"
+
+PII_SQL = f"""a AS (SELECT *, {_count_sql('text', 'emails')} AS n_emails, {_mask_sql('text', 'emails')} AS t1 FROM documents),
+b AS (SELECT *, {_count_sql('t1', 'phones')} AS n_phones, {_mask_sql('t1', 'phones')} AS t2 FROM a),
+c AS (SELECT *, {_count_sql('t2', 'ips')} AS n_ips, {_mask_sql('t2', 'ips')} AS masked FROM b)"""
+
+
+@query(f"WITH {PII_SQL} SELECT doc_id, masked, n_emails, n_phones, n_ips, n_emails + n_phones + n_ips AS n_total FROM c")
+def pii_mask_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.mask_all(documents(spark, sf_dir)).select("doc_id", F.col("text").alias("masked"), "n_emails", "n_phones", "n_ips", "n_total")
+
+
+@query(f"WITH {PII_SQL} SELECT sum(n_emails)::BIGINT AS emails, sum(n_phones)::BIGINT AS phones, sum(n_ips)::BIGINT AS ips, sum(n_emails + n_phones + n_ips)::BIGINT AS total FROM c")
+def pii_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = pii.mask_all(documents(spark, sf_dir))
+    return own.agg(F.sum("n_emails").alias("emails"), F.sum("n_phones").alias("phones"), F.sum("n_ips").alias("ips"), F.sum("n_total").alias("total"))
+
+
+@query(f"WITH {GOPHER_SQL}, {PII_SQL} SELECT c.doc_id, c.source, c.masked AS text, n_emails + n_phones + n_ips AS n_total FROM c JOIN checked USING (doc_id) WHERE len(failed) = 0")
+def gopher_pii_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = G.gopher(documents(spark, sf_dir)).where("passed").select("doc_id", "source", "text")
+    return pii.mask_all(own).select("doc_id", "source", "text", "n_total")
+
+
+# ---- HTML ------------------------------------------------------------------------------------------------------
+
+SNIPPETS = ["", "<?xml version='1.0'?><a/>", "  <?XML ?>", "x <DIV class=a> y", "<foo a='b'>bar</foo>", "a < b and c > d", "<!DOCTYPE HTML>", "plain", "<foo>no end", "<H1>"]
+_SNIPPETS_SQL = ", ".join(f"({-1 - i}, {quoted(s)})" for i, s in enumerate(SNIPPETS))
+HTML_SQL = rf"""page AS (SELECT page_id AS id, html AS body FROM pages UNION ALL SELECT doc_id + 1000000000, text FROM documents UNION ALL SELECT * FROM (VALUES {_SNIPPETS_SQL})),
+kind AS (SELECT id, CASE WHEN coalesce(body, '') = '' THEN 'empty'
+  WHEN contains(lower(substring(body, 1, 2000)), '<!doctype html') OR contains(lower(substring(body, 1, 2000)), '<html') THEN 'full_html'
+  WHEN starts_with(regexp_replace(lower(substring(body, 1, 2000)), '^\s+|\s+$', '', 'g'), '<?xml') THEN 'xml'
+  WHEN regexp_matches(substring(body, 1, 5000), {quoted(P.PARTIAL_TAG)}, 'i') THEN 'partial_html'
+  WHEN regexp_matches(substring(body, 1, 5000), {quoted(P.GENERIC_TAG)}, 's') THEN 'generic_tags'
+  ELSE 'plain_text' END AS html_type FROM page)"""
+
+
+def _all_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("body"))
+    docs = documents(spark, sf_dir).select((F.col("doc_id") + 1_000_000_000).alias("id"), F.col("text").alias("body"))
+    return pages.union(docs).union(spark.createDataFrame([(-1 - i, s) for i, s in enumerate(SNIPPETS)], "id long, body string"))
+
+
+@query(f"WITH {HTML_SQL} SELECT id, html_type, html_type NOT IN ('empty', 'plain_text') AS is_html FROM kind")
+def html_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _all_bodies(spark, sf_dir).select("id", html.html_type(F.col("body")).alias("html_type")).withColumn("is_html", ~F.col("html_type").isin("empty", "plain_text"))
+
+
+@query(f"WITH {HTML_SQL} SELECT html_type, count(*)::BIGINT AS count, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS pct FROM kind GROUP BY html_type")
+def html_type_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.histogram(_all_bodies(spark, sf_dir).select(html.html_type(F.col("body")).alias("html_type")), "html_type")
+
+
+@query()
+def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", html.extracted_or_original(F.col("html")).alias("text"))
+
+
+# ---- lines and documents ---------------------------------------------------------------------------------------
+
+LINES_SQL = """l AS (SELECT doc_id, unnest(lines) AS line, unnest(range(len(lines))) AS pos FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents)),
+f AS (SELECT line, count(*) AS n FROM l GROUP BY line)"""
+
+
+@query(f"WITH {LINES_SQL} SELECT sha256(line) AS line_hash, n::BIGINT AS count FROM f")
+def line_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = line_dedup.frequencies(line_dedup.lines(documents(spark, sf_dir)))
+    return own.select(F.lower(F.hex("hash")).alias("line_hash"), "count")
+
+
+@query(f"""WITH {LINES_SQL}, k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n_kept FROM l JOIN f USING (line) WHERE n = 1 GROUP BY doc_id)
+SELECT d.doc_id, coalesce(k.text, '') AS text, len(string_split(d.text, chr(10)))::BIGINT AS n_lines, coalesce(n_kept, 0)::BIGINT AS n_kept FROM documents d LEFT JOIN k USING (doc_id)""")
+def line_dedup_none(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
+@query(f"""WITH {LINES_SQL}, o AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS r FROM l),
+k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text, count(*) AS n_kept FROM o WHERE r = 1 GROUP BY doc_id)
+SELECT d.doc_id, coalesce(k.text, '') AS text, len(string_split(d.text, chr(10)))::BIGINT AS n_lines, coalesce(n_kept, 0)::BIGINT AS n_kept FROM documents d LEFT JOIN k USING (doc_id)""")
+def line_dedup_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir), keep="first")
+
+
+@query(f"WITH {LINES_SQL} SELECT sum(n)::BIGINT AS total_lines, count(*) FILTER (n = 1) AS unique_lines, count(*) FILTER (n > 1) AS duplicate_lines, coalesce(sum(n) FILTER (n > 1), 0)::BIGINT AS removed_occurrences FROM f")
+def line_dedup_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.stats(line_dedup.frequencies(line_dedup.lines(documents(spark, sf_dir))))
+
+
+@query("SELECT min(doc_id) AS doc_id, count(*)::BIGINT AS copies FROM documents GROUP BY sha256(text)")
+def exact_doc_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).groupBy(F.unhex(F.sha2("text", 256))).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")).select("doc_id", "copies")
+
+
+# ---- text helpers ----------------------------------------------------------------------------------------------
+
+_FLAT = r"regexp_replace(regexp_replace(text, '\s+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+@query(f"SELECT doc_id, CASE WHEN len(string_split({_FLAT}, ' ')) > 100 THEN array_to_string(string_split({_FLAT}, ' ')[1:100], ' ') ELSE text END AS text FROM documents")
+def word_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select("doc_id", text.truncate_words(F.col("text"), 100).alias("text"))
+
+
+NORMAL_SQL = r"trim(regexp_replace(regexp_replace(lower(strip_accents(text)), '[!-/:-@\[-`{-~]|[^\p{L}\p{N}_\s]', '', 'g'), '\s+', ' ', 'g'))"
+SHINGLE_SQL = f"""w AS (SELECT doc_id, CASE WHEN t = '' THEN [] ELSE string_split(t, ' ') END AS w FROM (SELECT doc_id, {NORMAL_SQL} AS t FROM documents)),
+s AS (SELECT DISTINCT doc_id, g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS g FROM w))"""
+
+
+@query(f"SELECT doc_id, {NORMAL_SQL} AS text FROM documents")
+def normalize_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select("doc_id", text.normalize(F.col("text")).alias("text"))
+
+
+def _shingles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.shingled(documents(spark, sf_dir), near_dup.Settings(max_words=None))
+
+
+@query(f"WITH {SHINGLE_SQL} SELECT doc_id, count(*)::BIGINT AS n, md5(string_agg(g, chr(10) ORDER BY g)) AS digest FROM s GROUP BY doc_id")
+def word_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shingles(spark, sf_dir).select(F.col("id").alias("doc_id"), F.size("shingles").cast("long").alias("n"), F.md5(F.array_join(F.array_sort("shingles"), "\n")).alias("digest"))
+
+
+_LE = "array_to_string(list_transform(range(15, 0, -2), lambda i: substring(sha1(g), i, 2)), '')"
+
+
+@query(f"WITH {SHINGLE_SQL} SELECT {_LE} AS shingle_hash, count(*)::BIGINT AS n FROM s GROUP BY 1")
+def shingle_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _shingles(spark, sf_dir).select(F.explode("shingles").alias("g")).select(F.sha1("g").alias("h"))
+    return own.groupBy(minhash.shingle_hash_hex(F.col("h")).alias("shingle_hash")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT doc_id, (length(text) - length(replace(text, '?', '')))::BIGINT AS marks FROM documents")
+def question_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select("doc_id", text.question_marks(F.col("text")).cast("long").alias("marks"))
+
+
+_CLEAN = r"trim(regexp_replace(text, '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT '__label__' || CASE WHEN quality = 1 THEN 'positive' ELSE 'negative' END || ' ' || {_CLEAN} AS value FROM documents JOIN labels USING (doc_id)")
+def training_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+    return sinks.training_lines(own.withColumn("label", F.when(F.col("quality") == 1, "positive").otherwise("negative")))
+
+
+# ---- near duplicates -------------------------------------------------------------------------------------------
+
+#: Fewer hashes than production's 256 / 32, so that SQL can follow on whole tables.
+FEW = near_dup.Settings(num_hashes=48, num_bands=12, threshold=0.5, max_bucket=None, max_words=None)
+
+
+def _family_sql(number: int) -> str:
+    return ", ".join(f"({i}, {a}::HUGEINT, {b}::HUGEINT)" for i, (a, b) in enumerate(minhash.hash_family(number)))
+
+
+def _signature_sql(number: int) -> str:
+    return f"""{SHINGLE_SQL}, x AS (SELECT doc_id, ('0x' || {_LE})::UBIGINT::HUGEINT % {minhash.PRIME} AS x FROM s), fam(i, a, b) AS (VALUES {_family_sql(number)}),
+m AS (SELECT doc_id, i, min((a * x + b) % {minhash.PRIME})::BIGINT AS v FROM x, fam GROUP BY doc_id, i)"""
+
+
+@query(f"WITH {_signature_sql(8)} SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY i) AS signature FROM m GROUP BY doc_id")
+def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = _shingles(spark, sf_dir).where(F.size("shingles") > 0)
+    return own.select(F.col("id").alias("doc_id"), F.array_join(minhash.signatures(F.col("shingles"), 8), ",").alias("signature"))
+
+
+LSH_SQL = f"""{_signature_sql(FEW.num_hashes)}, band AS (SELECT doc_id, i // {FEW.rows} AS band, string_agg(v::VARCHAR, ',' ORDER BY i) AS key FROM m GROUP BY doc_id, i // {FEW.rows}),
+sets AS (SELECT doc_id, md5(string_agg(g, chr(10) ORDER BY g)) AS h, count(*) AS n FROM s GROUP BY doc_id), reps AS (SELECT h, min(doc_id) AS rep FROM sets GROUP BY h),
+cand AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*)::BIGINT AS bands FROM band a JOIN band b USING (band, key) WHERE a.doc_id < b.doc_id AND a.doc_id IN (SELECT rep FROM reps) AND b.doc_id IN (SELECT rep FROM reps) GROUP BY 1, 2),
+inter AS (SELECT cand.a, cand.b, count(*) AS k FROM cand JOIN s x ON x.doc_id = cand.a JOIN s y ON y.doc_id = cand.b AND x.g = y.g GROUP BY 1, 2),
+pair AS (SELECT c.a, c.b, c.bands, coalesce(k, 0)::DOUBLE / (p.n + q.n - coalesce(k, 0)) AS jaccard FROM cand c LEFT JOIN inter USING (a, b) JOIN sets p ON p.doc_id = c.a JOIN sets q ON q.doc_id = c.b)"""
+
+
+@query(f"WITH {LSH_SQL} SELECT a, b, bands FROM cand")
+def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.candidates(near_dup.find(documents(spark, sf_dir), FEW).keys, FEW)
+
+
+@query(f"WITH {LSH_SQL} SELECT a, b, bands, jaccard FROM pair WHERE jaccard >= 0.5")
+def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find(documents(spark, sf_dir), FEW).pairs
+
+
+_GROUPS_SQL = f"""WITH RECURSIVE {LSH_SQL}, edge AS (SELECT a AS u, b AS v FROM pair WHERE jaccard >= 0.5 UNION SELECT b, a FROM pair WHERE jaccard >= 0.5),
+reach(u, v) AS (SELECT rep, rep FROM reps UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u), comp AS (SELECT u, min(v) AS component FROM reach GROUP BY u)
+SELECT doc_id, component FROM (SELECT doc_id, rep FROM sets JOIN reps USING (h)) JOIN comp ON comp.u = rep"""
+
+
+@query(_GROUPS_SQL)
+def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.find(documents(spark, sf_dir), FEW).membership
+    return found.select(F.col("id").alias("doc_id"), "component")
+
+
+@query(f"SELECT doc_id FROM ({_GROUPS_SQL}) WHERE doc_id = component")
+def near_dup_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find(documents(spark, sf_dir), FEW).keep().withColumnRenamed("id", "doc_id")
+
+
+@query()
+def near_dup_production(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find(documents(spark, sf_dir)).counts()
+
+
+# ---- languages and models --------------------------------------------------------------------------------------
+
+
+@query("SELECT lang, count(*)::BIGINT AS count, 100.0::DOUBLE * count(*) / sum(count(*)) OVER () AS pct FROM documents GROUP BY lang")
+def language_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.histogram(documents(spark, sf_dir), "lang")
+
+
+@query("WITH c AS (SELECT lang, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, lang) AS r FROM documents GROUP BY lang) SELECT CASE WHEN r <= 2 THEN lang ELSE 'others' END AS lang, sum(n)::BIGINT AS count FROM c GROUP BY 1")
+def language_top_with_others(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_with_others(documents(spark, sf_dir).groupBy("lang").count(), "lang", 2)
+
+
+@query("SELECT source, lang, n::BIGINT AS count, r::INT AS rank FROM (SELECT *, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS r FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY source, lang)) WHERE r <= 3")
+def top_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.top_per_group(documents(spark, sf_dir).groupBy("source", "lang").count(), "source", "lang", 3)
+
+
+_NAMES_SQL = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in P.LANGUAGE_NAMES.items())
+
+
+@query(f"SELECT doc_id, CASE lang {_NAMES_SQL} ELSE lang END AS language FROM documents")
+def language_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).select("doc_id", classify.language_name(F.col("lang")).alias("language"))
+
+
+def _held_out(docs: DataFrame) -> DataFrame:
+    return docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+
+
+def _learning(docs: DataFrame) -> DataFrame:
+    return docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+
+
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query()
+def langid_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = classify.train(_learning(docs), "lang")
+    found = classify.identify_language(spark, model, F.col("text"))
+    return docs.withColumn("_f", found).select("doc_id", F.col("_f.label").alias("detected_language"), F.col("_f.score").alias("language_score"))
+
+
+@query()
+def quality_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = classify.train(_learning(_labelled(spark, sf_dir)), "quality")
+    own = documents(spark, sf_dir).withColumn("_f", classify.classify_quality(spark, model, F.col("text")))
+    return own.select("doc_id", F.col("_f.label").alias("quality_label"), F.col("_f.score").alias("quality_score"), classify.quality_category(F.col("_f")).alias("category"))
+
+
+@query()
+def content_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = classify.train(_learning(_labelled(spark, sf_dir)), "toxic")
+    own = documents(spark, sf_dir).withColumn("_f", classify.classify_content(spark, model, F.col("text"), "toxic"))
+    return own.select("doc_id", F.col("_f.label").alias("toxic_label"), F.col("_f.score").alias("toxic_score"))
+
+
+@query()
+def classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _labelled(spark, sf_dir)
+    model = classify.train(_learning(rows), "quality")
+    own = _held_out(rows).withColumn("_f", classify.classify_quality(spark, model, F.col("text")))
+    scored = own.select(F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("label"), F.col("_f.label").alias("predicted"))
+    return reports.accuracy(scored, "label", "predicted")
+
+
+# ---- pipeline and reports --------------------------------------------------------------------------------------
+
+_BY_COLUMN = curation.Plan(language_column="lang", mask_pii=False)
+DECISION_SQL = f"{GOPHER_SQL}, d AS (SELECT c.doc_id, CASE WHEN c.text = '' THEN 'empty_text' WHEN l.lang <> 'en' OR l.lang IS NULL THEN 'language' WHEN len(failed) > 0 THEN 'gopher' END AS removed_by FROM checked c JOIN documents l USING (doc_id))"
+
+
+@query(f"WITH {DECISION_SQL} SELECT doc_id, removed_by FROM d")
+def pipeline_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.decisions(documents(spark, sf_dir), _BY_COLUMN).select("doc_id", "removed_by")
+
+
+_FUNNEL_SQL = ", ".join(f"({i}, '{s}')" for i, s in enumerate(curation.STAGES))
+
+
+@query(f"""WITH {DECISION_SQL}, st(position, stage) AS (VALUES {_FUNNEL_SQL}), r AS (SELECT position, stage, (SELECT count(*) FROM d WHERE removed_by = stage) AS removed FROM st),
+i AS (SELECT position, stage, (SELECT count(*) FROM d) - coalesce(sum(removed) OVER (ORDER BY position ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS docs_in, removed FROM r)
+SELECT position, stage, docs_in::BIGINT AS docs_in, removed::BIGINT AS removed, CASE WHEN docs_in > 0 THEN 100.0::DOUBLE * removed / docs_in ELSE 0.0::DOUBLE END AS pct FROM i""")
+def pipeline_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.report(curation.decisions(documents(spark, sf_dir), _BY_COLUMN))
+
+
+@query()
+def pipeline_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, rows = documents(spark, sf_dir), _learning(_labelled(spark, sf_dir))
+    plan = curation.Plan(language=classify.train(_learning(docs), "lang"), quality=classify.train(rows, "quality"), toxic=classify.train(rows, "toxic"))
+    return curation.curated(docs, plan)
+
+
+@query("SELECT event_type, count(value)::BIGINT AS n, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95, quantile_cont(value, 0.99) AS p99, max(value) AS max FROM events GROUP BY event_type")
+def latency_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.latency(table(spark, sf_dir, "events"), "event_type", "value").drop("mean")
+
+
+@query("SELECT source, count(*)::BIGINT AS rows, sum(length(text))::BIGINT AS chars, sum(strlen(text))::BIGINT AS bytes FROM documents GROUP BY source")
+def totals_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents(spark, sf_dir).groupBy("source").agg(F.count("*").alias("rows"), F.sum(F.length("text").cast("long")).alias("chars"), F.sum(F.octet_length("text").cast("long")).alias("bytes"))
+
+
+RUNS = [("w1", 1052.5), ("w2", 721.9), ("w4", 467.6), ("w8", 285.5), ("w16", 184.1)]
+_RUNS_SQL = ", ".join(f"('{n}', {v}::DOUBLE)" for n, v in RUNS)
+
+
+@query(f"WITH r(name, seconds) AS (VALUES {_RUNS_SQL}) SELECT name, seconds, 1052.5::DOUBLE / seconds AS speedup, 100.0::DOUBLE * (seconds - 1052.5::DOUBLE) / 1052.5::DOUBLE AS change_pct FROM r")
+def scaling_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.against_baseline(spark.createDataFrame(RUNS, "name string, seconds double"), "name", "seconds", "w1")
+
+
+@query("""WITH c AS (SELECT event_type, event_id, value, lag(event_id) OVER w AS x0, lag(value) OVER w AS y0 FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id))
+SELECT event_type, min(x0 + (y0 - 50.0::DOUBLE) / (y0 - value) * (event_id - x0)) AS crossing FROM c WHERE y0 >= 50 AND value <= 50 AND y0 > value GROUP BY event_type""")
+def curve_crossing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.crossing(table(spark, sf_dir, "events"), "event_id", "value", 50.0, "event_type")
+
+
+# ---- samples and budgets ---------------------------------------------------------------------------------------
+
+
+@query("SELECT url FROM pages ORDER BY sha1('42|' || url), url LIMIT 100")
+def url_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.sample(table(spark, sf_dir, "pages").select("url"), "url", 100)
+
+
+@query("SELECT quality, doc_id, r::INT AS rank FROM (SELECT quality, doc_id, row_number() OVER (PARTITION BY quality ORDER BY sha1('42|' || doc_id), doc_id) AS r FROM labels) WHERE r <= 50")
+def balanced_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.balanced(table(spark, sf_dir, "labels").select("quality", "doc_id"), "quality", "doc_id", 50)
+
+
+@query("SELECT source, doc_id, row_number() OVER (PARTITION BY source ORDER BY sha1('7|' || source || '|' || doc_id), doc_id)::INT AS place FROM documents")
+def seeded_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.permuted(documents(spark, sf_dir).select("source", "doc_id"), "source", "doc_id", 7)
+
+
+_TOKENS_SQL = r"len(regexp_extract_all(text, '[A-Za-z0-9]+|[^A-Za-z0-9\s]'))"
+BUDGET = 5_000
+
+
+@query(f"""WITH t AS (SELECT source, doc_id, {_TOKENS_SQL}::BIGINT AS n FROM documents), o AS (SELECT *, row_number() OVER w AS place, sum(n) OVER (w ROWS UNBOUNDED PRECEDING) AS upto FROM t WHERE n > 0
+WINDOW w AS (PARTITION BY source ORDER BY sha1('42|' || source || '|' || doc_id), doc_id))
+SELECT source, doc_id, n AS n_tokens, place::INT AS place, least(n, {BUDGET} - (upto - n))::BIGINT AS taken, least(n, {BUDGET} - (upto - n)) < n AS truncated FROM o WHERE upto - n < {BUDGET}""")
+def token_budget_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = documents(spark, sf_dir).select("source", "doc_id", matching.token_count(F.col("text")).alias("n_tokens"))
+    return matching.within_budget(own, "source", "doc_id", "n_tokens", F.lit(BUDGET).cast("long"))
+
+
+@query(f"""WITH t AS (SELECT source AS shard, sum({_TOKENS_SQL}) FILTER (doc_id % 3 <> 0) AS a, sum({_TOKENS_SQL}) FILTER (doc_id % 3 <> 1) AS b FROM documents GROUP BY source),
+p AS (SELECT shard, unnest([CASE WHEN shard = 'src1' THEN 'filtered: missing' END, CASE WHEN shard = 'src3' THEN 'unfiltered: bytes' END, CASE WHEN shard <> 'src1' AND a <> b THEN 'tokens differ' END]) AS problem FROM t)
+SELECT shard, problem FROM p WHERE problem IS NOT NULL""")
+def match_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = documents(spark, sf_dir).select(F.col("source").alias("shard"), "doc_id", matching.token_count(F.col("text")).alias("n"))
+    side = lambda keep: own.where(keep).groupBy("shard").agg(F.sum("n").alias("tokens"))
+    a = side("doc_id % 3 <> 0").where("shard <> 'src1'").withColumn("bytes", F.col("tokens") * 2)
+    b = side("doc_id % 3 <> 1").withColumn("bytes", F.col("tokens") * 2 + F.when(F.col("shard") == "src3", 1).otherwise(0))
+    return matching.verify_matched(own.select("shard").distinct(), a, b)
+
+
+# ---- sources ---------------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def jsonl_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loamsift.session import scratch_dir
+
+    path = scratch_dir(spark)
+    sinks.write_json_lines(documents(spark, sf_dir).select("doc_id", "text", "lang"), path, "gzip")
+    return readers.json_lines(spark, path, "doc_id long, text string, lang string")
+
+
+@query("SELECT url, html AS content FROM pages")
+def warc_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    head = F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n")
+    block = F.concat(head, F.coalesce("html", F.lit("")))
+    record = F.concat(F.lit("WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: "), "url", F.lit("\r\nContent-Length: "), F.octet_length(block).cast("string"), F.lit("\r\n\r\n"), block, F.lit("\r\n\r\n"))
+    archives = table(spark, sf_dir, "pages").select(F.encode(record, "UTF-8").alias("content"))
+    return warc.parse(archives).select("url", "content")
+
+
+@query("SELECT url FROM pages")
+def cdx_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    line = F.concat(F.lit("com,example)/ 20240101000000 "), F.to_json(F.struct("url", F.lit("200").alias("status"))))
+    bad = spark.createDataFrame([("no object",), ("k t {broken",), ('k t {"url": "http://x/robots.txt"}',), ('k t {"a": 1}',)], "line string")
+    return readers.cdx_urls(pages.select(line.alias("line")).union(bad))
