@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from loamsift.session import materialize, scratch_dir  # noqa: F401  (used as C.materialize)
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
+PASS_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -190,7 +191,7 @@ def passing(docs: DataFrame, text: str, change) -> DataFrame:
             at = batch.schema.get_field_index(text)
             filled = batch.set_column(at, text, batch.column(at).fill_null(""))
             done = 0
-            for part in slices(iter([filled]), text, 2 << 20):
+            for part in slices(iter([filled]), text, PASS_BYTES):
                 yield change(batch.slice(done, part.num_rows), *string_bytes(part.column(at)))
                 done += part.num_rows
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from loamsift.llm import _common as C
 
 WINDOW_WORDS = 10
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 20
 DEPTH = 16
 BLOCK_BYTES = 8 << 20
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()

@@ -30,11 +30,11 @@ SKETCH_CHUNK = 1 << 14
 #: Documents (estimated from the sketch) under one n-gram, from which it is dealt out by a salt.
 HOT_GRAM = 20_000
 BLOCK_DOCUMENTS = 1_024
-BLOCK_GRAMS = 4 << 20
+BLOCK_GRAMS = 1 << 20
 BITS_DOCUMENTS = 4_096
 BITS_BYTES = 8 << 20
 BROADCAST_ROWS = 150_000
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def shingle_sets(raw: np.ndarray, offs: np.ndarray, k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -346,7 +346,7 @@ def _overlaps(a: list[Member], b: list[Member]) -> np.ndarray:
     else:
         ob = np.argsort(cb, kind="stable")
         cb, rb = cb[ob], rb[ob]
-    strip = max(256, (8 << 20) // (len(a) + len(b)))
+    strip = max(256, (2 << 20) // (len(a) + len(b)))
     for c in range(0, len(kept), strip):
         x = np.zeros((len(a), min(strip, len(kept) - c)), np.float32)
         p, q = np.searchsorted(ca, (c, c + strip))

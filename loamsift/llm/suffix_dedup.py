@@ -29,7 +29,7 @@ GRAM = 8
 HOT = 20_000
 #: Up to so many keys of documents are broadcast to find their texts again; beyond, both sides are shuffled.
 BROADCAST_ROWS = 150_000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 
 
 def span_of(length: int) -> int:
