@@ -218,7 +218,7 @@ def _row(headers: dict[str, str], block: bytes, keep: bool) -> tuple:
     size, digest, kind = int(fields[b"content-length"]), headers["warc-payload-digest"].removeprefix("sha1:"), headers["warc-type"]
     if kind == "response" and (len(payload) != size or payload_digest(payload) != digest):
         raise WarcError(f"{headers['warc-record-id']}: the payload differs from its length or digest")
-    return (_page_of(headers["warc-record-id"]), headers.get("warc-target-uri", ""), kind, size, digest, _page_of(headers.get("warc-refers-to")), payload if keep else None)
+    return (_page_of(headers["warc-record-id"]), headers.get("warc-target-uri", ""), kind, size, digest, _page_of(headers.get("warc-refers-to")), payload if keep and kind == "response" else None)
 
 
 def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
