@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loamsift.functions import patterns as P
-from loamsift.functions.text import occurrences, strip
+from loamsift.functions.text import occurrences
 
 METRICS = ["word_count", "mean_word_length", "hash_ratio", "ellipsis_ratio", "bullet_line_ratio", "ellipsis_line_ratio", "alphabetic_word_ratio", "stop_word_count"]
 
@@ -25,28 +25,41 @@ def _ratio(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part.cast("double") / whole).otherwise(F.lit(0.0))
 
 
+#: White space within a line; a line's first sign; both with line breaks at \\n alone.
+_BLANK = r"[\s\x1c-\x1f&&[^\n]]*+"
+_LINE = r"(?Umd)^" + _BLANK
+_STOP = r"(?i)(?<![A-Za-z])(?<![A-Za-z]')(" + "|".join(P.STOP_WORDS) + r")(?![A-Za-z])(?!'[A-Za-z])"
+
+
 def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the eight metrics, unrounded. The text is cut into tokens and lines once each; a null text counts as empty."""
+    """``docs`` with the eight metrics, unrounded; a null text counts as empty.
+
+    All are counts of pattern matches, which need no arrays of tokens or lines: a word is a match of GOPHER_WORD wherever it stands, since no other token takes letters.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
-    tokens = F.regexp_extract_all(body, F.lit(P.UNICODE + P.GOPHER_TOKEN), F.lit(0))
-    lines = F.filter(F.transform(F.split(body, "\n", -1), strip), lambda x: x != "")
-    cut = docs.withColumns({"_tokens": tokens, "_lines": lines})
-    cut = cut.withColumn("_words", F.filter("_tokens", lambda t: t.rlike("[A-Za-z]")))
-    n, n_lines = F.size("_words").cast("long"), F.size("_lines").cast("long")
-    bullets = F.size(F.filter("_lines", lambda x: x.rlike("^" + P.BULLET))).cast("long")
-    dotted = F.size(F.filter("_lines", lambda x: x.endswith("...") | x.endswith("…"))).cast("long")
-    stops = F.array_intersect(F.transform("_words", F.lower), F.array(*map(F.lit, P.STOP_WORDS)))
+    count = lambda pattern: F.regexp_count(body, F.lit(pattern)).cast("long")
+    own = docs.withColumns(
+        {
+            "_words": count(P.GOPHER_WORD),
+            "_letters": F.length(body) - F.length(F.regexp_replace(body, P.GOPHER_WORD, "")),
+            "_tokens": count(P.UNICODE + P.GOPHER_TOKEN.replace(r"\S", r"[^\s\x1c-\x1f]")),
+            "_lines": count(_LINE + r"[^\s\x1c-\x1f]"),
+            "_bullets": count(_LINE + P.BULLET),
+            "_dotted": count(r"(?Ud)(?:\.\.\.|…)" + _BLANK + r"(?=\n|\z)"),
+        }
+    )
+    n, n_lines = F.col("_words"), F.col("_lines")
     made = {
         "word_count": n,
-        "mean_word_length": _ratio(F.length(F.array_join("_words", "")), n),
+        "mean_word_length": _ratio(F.col("_letters"), n),
         "hash_ratio": _ratio(occurrences(body, "#"), n),
         "ellipsis_ratio": _ratio(occurrences(body, "...") + occurrences(body, "…"), n),
-        "bullet_line_ratio": _ratio(bullets, n_lines),
-        "ellipsis_line_ratio": _ratio(dotted, n_lines),
-        "alphabetic_word_ratio": _ratio(n, F.size("_tokens").cast("long")),
-        "stop_word_count": F.size(stops).cast("long"),
+        "bullet_line_ratio": _ratio(F.col("_bullets"), n_lines),
+        "ellipsis_line_ratio": _ratio(F.col("_dotted"), n_lines),
+        "alphabetic_word_ratio": _ratio(n, F.col("_tokens")),
+        "stop_word_count": F.size(F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(_STOP), F.lit(1)), F.lower))).cast("long"),
     }
-    return cut.withColumns(made).drop("_tokens", "_lines", "_words")
+    return own.withColumns(made).drop("_words", "_letters", "_tokens", "_lines", "_bullets", "_dotted")
 
 
 def failed_checks(text: Column) -> Column:

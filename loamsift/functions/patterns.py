@@ -30,6 +30,7 @@ PARTIAL_TAG = r"<(div|span|p|a|img|table|tr|td|ul|ol|li|h[1-6]|br|hr|script|styl
 GENERIC_TAG = r"<[a-zA-Z][a-zA-Z0-9]*(?:\s+[^>]*)?>.*?</[a-zA-Z][a-zA-Z0-9]*>"
 
 # Gopher tokens, stop words, bullets.
+GOPHER_WORD = r"[A-Za-z]+(?:'[A-Za-z]+)*"
 GOPHER_TOKEN = r"[A-Za-z]+(?:'[A-Za-z]+)*|[0-9]+(?:\.[0-9]+)*|\S"
 STOP_WORDS = ["the", "be", "to", "of", "and", "that", "have", "with"]
 BULLET = "[-•●○▪▸►◦*→⁃‣⦿⦾]"

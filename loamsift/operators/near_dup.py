@@ -6,8 +6,12 @@ texts, which share every band, cost a row each. Buckets over ``max_bucket`` clas
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import sha1
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -37,17 +41,45 @@ class Settings:
         return self.num_hashes // self.num_bands
 
 
+def _body(docs: DataFrame, s: Settings, key: str, column: str) -> DataFrame:
+    own = docs.where(F.col(column).isNotNull()) if s.drop_null else docs.withColumn(column, F.coalesce(column, F.lit("")))
+    return own.select(F.col(key).cast("long").alias("id"), (text.truncate_words(F.col(column), s.max_words) if s.max_words else F.col(column)).alias("t"))
+
+
 def shingled(docs: DataFrame, s: Settings, key: str = "doc_id", column: str = "text") -> DataFrame:
     """(id, shingles): of the normalised text, which is cut to ``max_words`` first. Null texts are left out, or empty."""
-    own = docs.where(F.col(column).isNotNull()) if s.drop_null else docs.withColumn(column, F.coalesce(column, F.lit("")))
-    body = text.truncate_words(F.col(column), s.max_words) if s.max_words else F.col(column)
-    cut = own.select(F.col(key).cast("long").alias("id"), text.normalized_words(body).alias("w"))
+    cut = _body(docs, s, key, column).select("id", text.normalized_words(F.col("t")).alias("w"))
     return cut.select("id", text.word_ngrams(F.col("w"), s.ngrams).alias("shingles"))
 
 
+def signed(docs: DataFrame, s: Settings, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """(id, numbers, signature): the shingles as sorted 64-bit numbers, and their MinHash values, in one pass of Python.
+
+    Numbers stand for the shingles from here on: two shingles of one pair of documents share one with a chance of about 2^-64.
+    """
+    spark = docs.sparkSession
+    family = np.array(minhash.hash_family(s.num_hashes), np.uint64)
+    shared = spark.sparkContext.broadcast((np.ascontiguousarray(family[:, 0]), np.ascontiguousarray(family[:, 1])))
+    n = s.ngrams
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = shared.value
+        for batch in batches:
+            sets, values = [], []
+            for t in batch.column("t").to_pylist():
+                w = text.normalize_text(t).split()
+                own = {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({" ".join(w)} if w else set())
+                x = np.frombuffer(b"".join([sha1(g.encode()).digest()[:8] for g in own]), "<u8")
+                sets.append(np.sort(x).view(np.int64))
+                values.append(minhash.signature(x, a, b).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.int64()))], names=["id", "numbers", "signature"])
+
+    return _body(docs, s, key, column).mapInArrow(run, "id long, numbers array<long>, signature array<long>")
+
+
 def classes(sets: DataFrame) -> DataFrame:
     """(id, rep): rep is the smallest id with an equal set."""
-    named = sets.select("id", F.sha2(F.array_join(F.array_sort("shingles"), "\n"), 256).alias("_set"))
+    named = sets.select("id", F.sha2(F.array_join("numbers", ","), 256).alias("_set"))
     return named.join(named.groupBy("_set").agg(F.min("id").alias("rep")), "_set").select("id", "rep")
 
 
@@ -79,8 +111,8 @@ def jaccard(x: Column, y: Column) -> Column:
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(a, b, bands, jaccard) of pairs that reach the threshold."""
-    first = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_x"))
-    second = sets.select(F.col("id").alias("b"), F.col("shingles").alias("_y"))
+    first = sets.select(F.col("id").alias("a"), F.col("numbers").alias("_x"))
+    second = sets.select(F.col("id").alias("b"), F.col("numbers").alias("_y"))
     scored = pairs.join(first, "a").join(second, "b").withColumn("jaccard", jaccard(F.col("_x"), F.col("_y")))
     return scored.where(F.col("jaccard") >= threshold).drop("_x", "_y")
 
@@ -116,10 +148,10 @@ def _side_by_side(*one_row_each: DataFrame) -> DataFrame:
 
 def find(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", column: str = "text") -> NearDuplicates:
     """Signatures once, in a written table; then one shuffle for all bands, and rounds of components that each end in a written table."""
-    sets = materialize(shingled(docs, s, key, column))
+    sets = materialize(signed(docs, s, key, column))
     member = materialize(classes(sets))
     chosen = sets.join(member.where("id = rep").select("id"), "id", "left_semi")
-    keys = materialize(band_keys(chosen.select("id", minhash.signatures(F.col("shingles"), s.num_hashes).alias("signature")), s))
+    keys = materialize(band_keys(chosen.select("id", "signature"), s))
     pairs = materialize(verified(candidates(keys, s), sets, s.threshold))
     labels = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
     joined = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")

@@ -99,8 +99,9 @@ def _count_sql(column: str, kind: str) -> str:
 
 def _mask_query(kind: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        masked, count = pii.mask(F.col("text"), kind)
-        return documents(spark, sf_dir).select("doc_id", masked.alias("masked"), count.alias("n"))
+        mark = pii.KINDS[kind][1]
+        own = documents(spark, sf_dir).select("doc_id", "text", pii.mask(F.col("text"), kind)[0].alias("masked"))
+        return own.select("doc_id", "masked", (pii.count_masks(F.col("masked"), mark) - pii.count_masks(F.col("text"), mark)).alias("n"))
 
     return run
 

@@ -137,3 +137,25 @@ def test_signature_edges():
     cases = [[], [0], [2**64 - 1], [2**61 - 1], [2**61 - 2, 2**61, 2**63, 1]] + [[rng.getrandbits(64) for _ in range(rng.randint(1, 3000))] for _ in range(5)]
     for numbers in cases:
         assert minhash.signature(np.array(numbers, np.uint64), a, b).tolist() == minhash.scalar_signature(numbers, family)
+
+
+def plain_metrics(t):
+    import re
+
+    tokens = re.findall(r"[A-Za-z]+(?:'[A-Za-z]+)*|[0-9]+(?:\.[0-9]+)*|\S", t)
+    own = [x for x in tokens if re.search("[A-Za-z]", x)]
+    rows = [x.strip() for x in t.split("\n") if x.strip()]
+    n, m = len(own), len(rows)
+    per = lambda a, b: a / b if b else 0.0
+    return (
+        n, per(sum(map(len, own)), n), per(t.count("#"), n), per(t.count("...") + t.count("…"), n), per(sum(bool(re.match("[-•●○▪▸►◦*→⁃‣⦿⦾]", x)) for x in rows), m),
+        per(sum(x.endswith(("...", "…")) for x in rows), m), per(n, len(tokens)), len({x.lower() for x in own} & {"the", "be", "to", "of", "and", "that", "have", "with"}),
+    )
+
+
+def test_gopher_metrics_are_their_definition(spark):
+    rng = random.Random(9)
+    parts = ["the", "The", "of", "BE", "to'", "'", "a", "Z", "12", "1.5", ".", "..", "...", "…", "#", "-", "•", "*", " ", "  ", "\n", "\n\n", "\t", "\x1c", " ", "é", "K", "ſ", "\r", " ", "that's", "with"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 40))) for _ in range(800)]
+    for r, t in zip(gopher_of(spark, *texts), texts, strict=True):
+        assert tuple(r[m] for m in gopher.METRICS) == pytest.approx(plain_metrics(t), abs=1e-12), repr(t)
