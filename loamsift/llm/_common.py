@@ -19,12 +19,24 @@ SLICE_BYTES = 2 << 20
 PASS_BYTES = 1 << 20
 
 
+#: Texts differ in length by orders of magnitude, so Arrow batches are bounded by bytes, in the JVM and in Python alike.
+BATCH_BYTES = 6 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches to BATCH_BYTES, unless the cluster's settings name a bound."""
+    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only (key, text), null text as the empty string: other columns, whatever their names, take no part."""
+    bound_batches(docs.sparkSession)
     return docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
 
 
@@ -195,4 +207,5 @@ def passing(docs: DataFrame, text: str, change) -> DataFrame:
                 yield change(batch.slice(done, part.num_rows), *string_bytes(part.column(at)))
                 done += part.num_rows
 
+    bound_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)

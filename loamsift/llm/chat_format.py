@@ -436,6 +436,7 @@ def format_conversations(turns: DataFrame, template: str = CHAT_TEMPLATE) -> Dat
         if begun:
             yield done()
 
+    C.bound_batches(turns.sparkSession)
     own = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     ordered = own.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
     return ordered.select("conv_id", "role", "text").mapInPandas(run, "conv_id long, formatted string, spans array<array<long>>")

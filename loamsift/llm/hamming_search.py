@@ -223,6 +223,7 @@ def search(rows: DataFrame, k: int = NEIGHBOURS, every: int = EVERY, block: int
     a hash, and each block's distinct vectors are searched once. A repeated vec_id is a row of its own as a candidate; as a query its first vector counts, and no row of that id answers it.
     """
     spark = rows.sparkSession
+    C.bound_batches(spark)
     vectors = usable(rows)
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     fitted = fit(vectors, k)

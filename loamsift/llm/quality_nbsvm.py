@@ -130,7 +130,7 @@ def train(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> NaiveBayesS
     sample = bounded_by_class(labelled.where(F.col("quality").isin(0, 1)).select("doc_id", "text", "quality"), "quality", per_class)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in C.slices(batches, limit=1 << 20):
+        for batch in C.slices(batches, limit=1 << 19):
             feature, first = indicators(*C.string_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality").cast(pa.int64()), C.int_lists(feature, np.diff(first), pa.int32())], names=["doc_id", "quality", "x"])
 
@@ -158,7 +158,7 @@ def score(docs: DataFrame, model: NaiveBayesSvm) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for batch in C.slices(batches, limit=1 << 20):
+        for batch in C.slices(batches, limit=1 << 19):
             margin = m.margins(*indicators(*C.string_bytes(batch.column("text"))))
             s = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], names=["doc_id", "score", "predicted"])

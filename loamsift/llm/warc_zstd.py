@@ -164,6 +164,7 @@ def write_archives(records: DataFrame, folder: str, level: int = 3) -> DataFrame
         if finished:
             yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in finished]), pa.array([n for _, n in finished], pa.int64())], names=["path", "n_records"])
 
+    C.bound_batches(records.sparkSession)
     return records.select("page_id", "url", "payload", "refers_to").mapInArrow(run, "path string, n_records long")
 
 
