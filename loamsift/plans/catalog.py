@@ -12,6 +12,7 @@ from loamsift.functions import html, minhash, pii, text
 from loamsift.functions import patterns as P
 from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling
 from loamsift.plans import curation
+from loamsift.session import spread
 from loamsift.sources import readers, sinks, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +35,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def quoted(pattern: str) -> str:
@@ -163,7 +164,7 @@ def html_type_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", html.extracted_or_original(F.col("html")).alias("text"))
+    return spread(table(spark, sf_dir, "pages")).select("page_id", html.extracted_or_original(F.col("html")).alias("text"))
 
 
 # ---- lines and documents ---------------------------------------------------------------------------------------

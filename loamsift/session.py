@@ -33,3 +33,14 @@ def materialize(df: DataFrame) -> DataFrame:
     path = scratch_dir(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Bytes of files for each core under which a table is dealt out anew: a small table is often one row group, which one task would read alone.
+SMALL_PER_CORE = 4 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt to all cores if its files are too small to fill them; larger tables are read where they lie, without a shuffle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores) if size < SMALL_PER_CORE * cores else df
