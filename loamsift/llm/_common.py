@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamsift.session import materialize, scratch_dir  # noqa: F401  (used as C.materialize)
+from loamsift.session import materialize, scratch_dir, spread  # noqa: F401  (used as C.materialize)
 
 SLICE_BYTES = 2 << 20
 PASS_BYTES = 1 << 20
@@ -31,7 +31,8 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of ``sf_dir``; a small one is dealt to all cores (see session.spread)."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -179,18 +180,24 @@ def rows_per_partition(df: DataFrame, per: int, most: int = 1 << 20) -> int:
     return max(1, min(most, -(-df.count() // per)))
 
 
-def _few(found: DataFrame, most: int) -> bool:
-    return found.limit(most + 1).count() <= most
+#: Bytes of a written table's files beyond which it isn't broadcast, whatever its rows.
+BROADCAST_BYTES = 32 << 20
+
+
+def is_small(found: DataFrame, most: int) -> bool:
+    """Whether a written table is within BROADCAST_BYTES and ``most`` rows."""
+    size = int(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return size <= BROADCAST_BYTES and found.limit(most + 1).count() <= most
 
 
 def with_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFrame:
     """Inner join on ``key`` to a written table: broadcast if it has at most ``most`` rows, else both sides are shuffled."""
-    return rows.join(F.broadcast(found) if _few(found, most) else found, key)
+    return rows.join(F.broadcast(found) if is_small(found, most) else found, key)
 
 
 def without_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFrame:
     """Rows whose ``key`` isn't in a written table, joined as in with_small."""
-    return rows.join(F.broadcast(found) if _few(found, most) else found, key, "left_anti")
+    return rows.join(F.broadcast(found) if is_small(found, most) else found, key, "left_anti")
 
 
 def passing(docs: DataFrame, text: str, change) -> DataFrame:

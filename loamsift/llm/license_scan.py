@@ -142,7 +142,7 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
     own = C.keyed_rows(docs).withColumn("text_key", F.xxhash64("text"))
     spans = diagonals(document_grams(own), known)
     by_doc = C.materialize(spans.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("template", "start", "stop"))).alias("candidates")))
-    small = by_doc.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = C.is_small(by_doc, BROADCAST_ROWS)
     keyed = by_doc.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "candidates")
     joined = own.join(F.broadcast(keyed) if small else keyed, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")), "left").select("doc_id", "text", "candidates")
 

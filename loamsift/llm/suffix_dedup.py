@@ -27,7 +27,7 @@ LENGTH = 400
 GRAM = 8
 #: Members of a core beyond which it is dealt out by a salt and merged in two rounds.
 HOT = 20_000
-#: Up to so many keys of documents are broadcast to find their texts again; beyond, both sides are shuffled.
+#: Up to so many keys of documents (and C.BROADCAST_BYTES) are broadcast to find their texts again; beyond, both sides are shuffled.
 BROADCAST_ROWS = 150_000
 SHARD_BYTES = 1 << 20
 
@@ -299,7 +299,7 @@ def resolve_ends(contexts: DataFrame, length: int, partitions: int) -> DataFrame
 
 def with_texts(docs: DataFrame, found: DataFrame, column: str, how: str) -> DataFrame:
     """Join (doc_id, text_key, column) to the documents; ``found`` is a written table with a row for each key."""
-    small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = C.is_small(found, BROADCAST_ROWS)
     keyed = found.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), column)
     same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))
     return docs.join(F.broadcast(keyed) if small else keyed, same, how).drop("_d", "_t")
@@ -406,7 +406,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     own = C.keyed_rows(docs).withColumn("text_key", F.xxhash64("text"))
     spans = C.materialize(repeated_spans(own, length)).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("spans").alias("__spans"))
-    small = spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    small = C.is_small(spans, BROADCAST_ROWS)
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__t"))
     joined = docs.join(F.broadcast(spans) if small else spans, same, "left").drop("__d", "__t")
     names = docs.columns
