@@ -88,7 +88,7 @@ def dot_product_bins(demand: np.ndarray, capacity: np.ndarray) -> tuple[np.ndarr
     order = np.argsort(inverse, kind="stable")
     taken = np.concatenate([[0], np.cumsum(left)[:-1]])
     weight = demand.sum(0) / np.maximum(capacity, 1) / max(n, 1)
-    scaled = types * weight / np.maximum(capacity, 1) ** 1.0
+    scaled = types * weight / np.maximum(capacity, 1)
     bins, rank = np.zeros(n, np.int64), np.zeros(n, np.int64)
     bin_no, room, filled, done = 0, capacity.astype(np.int64).copy(), 0, 0
     while done < n:

@@ -11,7 +11,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -134,16 +133,21 @@ def train(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> NaiveBayesS
             feature, first = indicators(*C.string_bytes(batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality").cast(pa.int64()), C.int_lists(feature, np.diff(first), pa.int32())], names=["doc_id", "quality", "x"])
 
-    def learn(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        df = pd.concat([pd.DataFrame({"doc_id": [], "quality": [], "x": []}), *frames], ignore_index=True)
-        if not len(df):
-            return
-        df = df.assign(_k=[x.tobytes()[:64] for x in df["x"]]).sort_values(["doc_id", "quality", "_k"])
-        model = fit([x.astype(np.int64) for x in df["x"]], np.where(df["quality"] > 0, 1, -1))
-        yield pd.DataFrame({"weights": [model.weights.astype(np.float64).tobytes()], "bias": [model.bias]})
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = []
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x")
+                flat, offs = x.flatten().to_numpy().astype(np.int32), x.offsets.to_numpy() - x.offsets[0].as_py()
+                rows = zip(batch.column("doc_id").to_pylist(), batch.column("quality").to_pylist(), offs[:-1], offs[1:], strict=True)
+                held += [(doc or 0, q, flat[i:j]) for doc, q, i, j in rows]
+        if held:
+            held.sort(key=lambda r: (r[0], r[1], r[2][:16].tobytes()))
+            model = fit([r[2] for r in held], np.where(np.array([r[1] for r in held]) > 0, 1, -1))
+            yield pa.RecordBatch.from_arrays([pa.array([model.weights.tobytes()], pa.binary()), pa.array([float(model.bias)])], names=["weights", "bias"])
 
     found = sample.mapInArrow(find, "doc_id long, quality long, x array<int>")
-    got = found.coalesce(1).mapInPandas(learn, "weights binary, bias double").collect() if not sample.isEmpty() else []
+    got = found.repartition(1).mapInArrow(learn, "weights binary, bias double").collect()
     if not got:
         return fit([], np.zeros(0, int))
     return NaiveBayesSvm(np.frombuffer(bytes(got[0][0]), np.float64), got[0][1])
