@@ -478,3 +478,17 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> Dat
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link(C.table(spark, sf_dir, "documents")).drop("class_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(g) AS h, md5_number_lower(g) AS g FROM (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS g FROM t)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b USING (h, g) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+edge AS (SELECT a AS u, b AS v FROM e UNION SELECT b, a FROM e),
+reach(u, v) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u),
+c AS (SELECT u, min(v) AS component_id FROM reach GROUP BY u)
+SELECT documents.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM documents LEFT JOIN n USING (doc_id) JOIN c ON c.u = documents.doc_id
+"""

@@ -19,6 +19,8 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op3_warc": warc_zstd.ORACLE,
+    "op4_ngram_jaccard": ngram_join.ORACLE,
     "op5_decontamination": decontaminate.ORACLE,
     "op9_chat_formatting": chat_format.ORACLE,
+    "op10_suffix_array_dedup": suffix_dedup.ORACLE,
 }

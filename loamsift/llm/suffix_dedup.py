@@ -440,3 +440,16 @@ def digest(done: DataFrame) -> DataFrame:
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(C.table(spark, sf_dir, "documents")))
+
+
+ORACLE = f"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT doc_id, p, md5(b[p : p + {LENGTH - 1}]) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - {LENGTH - 2})) AS p FROM d WHERE octet_length(b) >= {LENGTH})),
+r AS (SELECT doc_id, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+g AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM r)),
+s AS (SELECT doc_id, min(p) AS a, max(p) + {LENGTH} AS z FROM g GROUP BY doc_id, run),
+l AS (SELECT doc_id, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z, sum(z - a) AS n_removed, count(*) AS n_spans FROM s GROUP BY doc_id),
+k AS (SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  CASE WHEN l.a IS NULL THEN b ELSE list_reduce(list_prepend(b[1 : l.a[1] - 1], list_transform(range(1, len(l.a) + 1), lambda i: b[l.z[i] : coalesce(l.a[i + 1], octet_length(b) + 1) - 1])), lambda x, y: x || y) END AS kept FROM d LEFT JOIN l USING (doc_id))
+SELECT doc_id, n_bytes::BIGINT AS n_bytes, n_removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans, sha256(kept) AS kept_sha256 FROM k
+"""
