@@ -137,7 +137,7 @@ def prefix_index(docs: DataFrame, counts: np.ndarray, percent: int, k: int, hot:
     return docs.mapInArrow(run, "gram long, salt int, node long, n int")
 
 
-def stars(index: DataFrame, partitions: int, percent: int) -> DataFrame:
+def stars(index: DataFrame, percent: int) -> DataFrame:
     """Links between documents that share an n-gram of their prefixes and whose sizes allow the threshold: (u, v, gram, low, high).
 
     Sorted by size, documents of a gram fall into runs in which each next size allows the threshold; a run is a star around its smallest node. For
@@ -197,7 +197,7 @@ def stars(index: DataFrame, partitions: int, percent: int) -> DataFrame:
         if len(seen):
             yield plain(np.unique(seen, axis=0))
 
-    dealt = index.repartition(partitions, "gram", "salt").sortWithinPartitions("gram", "salt", "n", "node")
+    dealt = index.repartition("gram", "salt").sortWithinPartitions("gram", "salt", "n", "node")
     return dealt.mapInArrow(run, "u long, v long, gram long, low int, high int")
 
 
@@ -232,7 +232,7 @@ def windows(members: DataFrame, most_documents: int, most_size: int, size: str,
     return both.join(count, ["component", "window"]).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
 
 
-def near_bits(members: DataFrame, partitions: int, percent: int) -> DataFrame:
+def near_bits(members: DataFrame, percent: int) -> DataFrame:
     """(u, v): of the pairs in a block whose parity bits allow the threshold, links enough to connect what they connect.
 
     ``members``: (component, window, part, parts, node, n, bits).
@@ -257,7 +257,7 @@ def near_bits(members: DataFrame, partitions: int, percent: int) -> DataFrame:
 
     other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
     sent = members.withColumn("other", other).select("component", "window", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", "node", "n", "bits")
-    dealt = sent.repartition(partitions, "component", "window", "a", "b").sortWithinPartitions("component", "window", "a", "b")
+    dealt = sent.repartition("component", "window", "a", "b").sortWithinPartitions("component", "window", "a", "b")
     return dealt.mapInArrow(run, "u long, v long")
 
 
@@ -391,7 +391,7 @@ def _forest(linked: np.ndarray, a: list[int], b: list[int], square: bool) -> lis
     return out
 
 
-def block_links(docs: DataFrame, blocks: DataFrame, partitions: int, percent: int, k: int) -> DataFrame:
+def block_links(docs: DataFrame, blocks: DataFrame, percent: int, k: int) -> DataFrame:
     """(u, v) links. ``blocks``: (doc_id, places), places being structs (block, window, part, parts); each set goes to the pairs of parts that hold its part."""
 
     def ship(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -434,7 +434,7 @@ def block_links(docs: DataFrame, blocks: DataFrame, partitions: int, percent: in
 
     found = C.with_small(docs, blocks, "doc_id", BROADCAST_ROWS)
     shipped = found.mapInArrow(ship, "block long, window int, a int, b int, part int, node long, grams binary")
-    dealt = shipped.repartition(partitions, "block", "window", "a", "b").sortWithinPartitions("block", "window", "a", "b", "node")
+    dealt = shipped.repartition("block", "window", "a", "b").sortWithinPartitions("block", "window", "a", "b", "node")
     return dealt.mapInArrow(multiply, "u long, v long")
 
 
@@ -444,7 +444,6 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int =
     Words are runs of bytes other than ASCII white space, A-Z lowered. A null or blank text has no n-grams, and is alone. Repeated rows each get their row. Rows
     that share a doc_id count as linked to each other if their texts are linked to anything; rows without doc_id get their size and no component, and link nothing.
     """
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = C.keyed_rows(docs)
     surveyed = C.materialize(survey(own, words))
     rows = surveyed.where("kind = 0").drop("kind", "counts")
@@ -453,16 +452,16 @@ def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int =
     copies = C.materialize(full.drop("bits").join(classes.drop("bits"), ["s1", "s2", "n"]).where("doc_id <> node").select("doc_id").distinct())
     chosen = C.without_small(own.where("doc_id IS NOT NULL"), copies, "doc_id", BROADCAST_ROWS)
     index = prefix_index(chosen, sketch(surveyed), percent, words, hot)
-    starred = C.materialize(stars(index, partitions, percent))
+    starred = C.materialize(stars(index, percent))
     near = starred.where("gram IS NULL").select("u", "v").unionByName(join_salts(starred.where("gram IS NOT NULL"), percent)).distinct()
     sizes = classes.groupBy("node").agg(F.max("n").alias("n"), F.max_by("bits", "n").alias("bits"))
     candidates = components(C.materialize(near)).join(sizes, "node")
     dealt = windows(candidates.withColumn("size", F.octet_length("bits")), bits_documents, BITS_BYTES, "size", percent)
-    closer = components(C.materialize(near_bits(dealt, partitions, percent).distinct()))
+    closer = components(C.materialize(near_bits(dealt, percent).distinct()))
     blocks = windows(closer.join(sizes.drop("bits"), "node"), block_documents, BLOCK_GRAMS, "n", percent)
     place = F.struct(F.col("component").alias("block"), "window", "part", "parts")
     blocks = C.materialize(blocks.groupBy(F.col("node").alias("doc_id")).agg(F.collect_set(place).alias("places")))
-    links = C.materialize(block_links(own, blocks, partitions, percent, words))
+    links = C.materialize(block_links(own, blocks, percent, words))
     groups = components(links)
     named = classes.join(groups, "node", "left").select("s1", "s2", "n", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"))
     out = rows.drop("bits").join(named, ["s1", "s2", "n"], "left")

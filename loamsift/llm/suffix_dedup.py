@@ -225,7 +225,7 @@ def refine(raw: np.ndarray, place: np.ndarray, block: np.ndarray, length: int) -
     return done, C.mix(block * np.uint64(0xA24BAED4963EE407) + C.span_hash(p, place, place + length, 1))
 
 
-def resolve_ends(contexts: DataFrame, length: int, partitions: int) -> DataFrame:
+def resolve_ends(contexts: DataFrame, length: int) -> DataFrame:
     """``contexts`` (core, salts, salt, doc_id, text_key, at, lo, hi, n, bytes) to rows (doc_id, text_key, lo, hi, string): starts whose strings recur
     (string null), and for salted cores one row for each distinct string (its hash; lo null if it is known to recur)."""
 
@@ -293,7 +293,7 @@ def resolve_ends(contexts: DataFrame, length: int, partitions: int) -> DataFrame
             yield from flush(held).to_batches()
 
     names = ["doc_id", "text_key", "lo", "hi", "string"]
-    dealt = contexts.repartition(partitions, "core", "salt").sortWithinPartitions("core", "salt")
+    dealt = contexts.repartition("core", "salt").sortWithinPartitions("core", "salt")
     return dealt.mapInArrow(run, "doc_id long, text_key long, lo int, hi int, string long")
 
 
@@ -322,8 +322,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, shard_
     by_doc = C.materialize(ends.groupBy("doc_id", "text_key").agg(wanted))
     contexts = with_texts(docs, by_doc, "wanted", "inner").mapInArrow(_cut(length), CONTEXT)
     salted = contexts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key", "at"), F.col("salts")))
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    resolved = C.materialize(resolve_ends(salted, length, partitions))
+    resolved = C.materialize(resolve_ends(salted, length))
     again = resolved.where("string IS NOT NULL").groupBy("string").agg(F.count("*").alias("k"), F.collect_list(F.when(F.col("lo").isNotNull(), F.struct("doc_id", "text_key", "lo", "hi"))).alias("open")).where("k > 1")
     across = again.select(F.explode("open").alias("x")).select("x.*")
     starts = inner.unionByName(resolved.where("string IS NULL").drop("string")).unionByName(across).unionByName(found.where("kind = 1").select("doc_id", "text_key", "lo", "hi"))
