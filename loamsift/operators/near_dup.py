@@ -1,7 +1,9 @@
 """Near-duplicate documents by MinHash, banded buckets, true Jaccard similarity and connected components.
 
 Rows with equal shingle sets are one class, for which its smallest id stands, before anything is paired: exact copies and empty
-texts, which share every band, cost a row each. Buckets over ``max_bucket`` classes are skipped and counted, as a guard that can be switched off (None).
+texts, which share every band, cost a row each. Components need no list of all pairs: buckets over ``star_from`` classes are linked by
+stars, and what those leave apart is compared in full, so the result is that of all pairs. ``max_bucket`` skips larger buckets and
+``max_words`` cuts texts, as the surveyed scripts do; both lose duplicates, and neither is on unless asked for.
 """
 
 from __future__ import annotations
@@ -26,15 +28,18 @@ class Settings:
     num_bands: int = 32
     ngrams: int = 5
     threshold: float = 0.5
-    max_bucket: int | None = 5000
-    max_words: int | None = 10_000
+    max_bucket: int | None = None
+    max_words: int | None = None
     drop_null: bool = True
+    star_from: int = 64
 
     def __post_init__(self) -> None:
         if self.num_hashes % self.num_bands:
             raise ValueError("num_hashes must be a multiple of num_bands")
         if self.max_bucket is not None and self.max_bucket < 2:
             raise ValueError("max_bucket must be at least 2")
+        if self.star_from < 2:
+            raise ValueError("star_from must be at least 2")
 
     @property
     def rows(self) -> int:
@@ -93,12 +98,18 @@ def buckets(keys: DataFrame) -> DataFrame:
     return keys.groupBy("band", "key").agg(F.count("*").alias("size"))
 
 
-def candidates(keys: DataFrame, s: Settings) -> DataFrame:
-    """(a, b, bands): pairs a < b that share a bucket, and how many they share."""
-    sized = buckets(keys).where("size > 1")
-    if s.max_bucket is not None:
-        sized = sized.where(F.col("size") <= s.max_bucket)
-    kept = keys.join(sized.select("band", "key"), ["band", "key"], "left_semi")
+def _in_buckets(keys: DataFrame, s: Settings, low: int, high: int | None = None) -> DataFrame:
+    """``keys`` of buckets of ``low`` to ``high`` classes, without those that max_bucket skips."""
+    sized = buckets(keys).where(F.col("size") >= low)
+    for most in (high, s.max_bucket):
+        if most is not None:
+            sized = sized.where(F.col("size") <= most)
+    return keys.join(sized.select("band", "key"), ["band", "key"], "left_semi")
+
+
+def candidates(keys: DataFrame, s: Settings, most: int | None = None) -> DataFrame:
+    """(a, b, bands): pairs a < b that share a bucket (of at most ``most`` classes), and how many they share."""
+    kept = _in_buckets(keys, s, 2, most)
     left, right = kept.withColumnRenamed("id", "a"), kept.withColumnRenamed("id", "b")
     return left.join(right, ["band", "key"]).where("a < b").groupBy("a", "b").agg(F.count("*").alias("bands"))
 
@@ -117,9 +128,47 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return scored.where(F.col("jaccard") >= threshold).drop("_x", "_y")
 
 
+def _unsettled(large: DataFrame, edges: DataFrame) -> DataFrame:
+    """(band, key, id, component, main): the members of buckets that still hold several components, of which main is the commonest."""
+    tagged = large.join(components(edges).withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+    parts = tagged.groupBy("band", "key", "component").agg(F.count("*").alias("_n"))
+    main = parts.groupBy("band", "key").agg(F.count("*").alias("_parts"), F.max_by("component", F.struct("_n", "component")).alias("main")).where("_parts > 1")
+    return materialize(tagged.join(main.drop("_parts"), ["band", "key"]))
+
+
+def links(large: DataFrame, edges: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``edges`` (u, v) and as many verified pairs within the buckets ``large`` as give the components that all of them would give.
+
+    In each round every member outside a bucket's main component is compared with one hub inside it. Once a round settles less than half
+    of those members, each is compared with all members of the other components, after which no pair of a bucket is open.
+    """
+    before, turn, last = None, 0, False
+    while not last:
+        members = _unsettled(large, edges)
+        rest = members.where("component <> main").select("band", "key", F.col("id").alias("_own"), F.col("component").alias("_part"))
+        number = rest.count()
+        if not number:
+            break
+        last = before is not None and 2 * number > before
+        if last:
+            others = members.select("band", "key", F.col("id").alias("_other"), F.col("component").alias("_apart"))
+            met = rest.join(others, ["band", "key"]).where("_part <> _apart")
+        else:
+            hubs = members.where("component = main").groupBy("band", "key").agg(F.min_by("id", F.xxhash64("id", F.lit(turn))).alias("_other"))
+            met = rest.join(hubs, ["band", "key"])
+        pairs = met.select(F.least("_own", "_other").alias("a"), F.greatest("_own", "_other").alias("b")).distinct()
+        found = verified(pairs, sets, threshold).select(F.col("a").alias("u"), F.col("b").alias("v"))
+        edges = materialize(edges.unionByName(found))
+        before, turn = number, turn + 1
+    return edges
+
+
 @dataclass
 class NearDuplicates:
-    """``membership``: (id, rep, component); ``pairs``: verified pairs of class representatives; ``keys``: their buckets."""
+    """``membership``: (id, rep, component); ``pairs``: all verified pairs of class representatives; ``keys``: their buckets.
+
+    ``pairs`` and ``counts`` list pairs, the square of a bucket's classes; ``membership`` and ``keep`` don't.
+    """
 
     membership: DataFrame
     pairs: DataFrame
@@ -147,13 +196,18 @@ def _side_by_side(*one_row_each: DataFrame) -> DataFrame:
 
 
 def find(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", column: str = "text") -> NearDuplicates:
-    """Signatures once, in a written table; then one shuffle for all bands, and rounds of components that each end in a written table."""
+    """Signatures once, in a written table; then one shuffle for all bands, and rounds of links and components that each end in a written table."""
     sets = materialize(signed(docs, s, key, column))
     member = materialize(classes(sets))
     chosen = sets.join(member.where("id = rep").select("id"), "id", "left_semi")
     keys = materialize(band_keys(chosen.select("id", "signature"), s))
-    pairs = materialize(verified(candidates(keys, s), sets, s.threshold))
-    labels = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    pairs = materialize(verified(candidates(keys, s, s.star_from), sets, s.threshold))
+    edges = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    large = materialize(_in_buckets(keys, s, s.star_from + 1))
+    if not large.isEmpty():
+        edges = links(large, edges, sets, s.threshold)
+        pairs = verified(candidates(keys, s), sets, s.threshold)
+    labels = components(edges)
     joined = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     return NearDuplicates(joined.select("id", "rep", F.coalesce("component", "rep").alias("component")), pairs, keys, s)
 

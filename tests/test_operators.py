@@ -64,6 +64,41 @@ def test_near_duplicates_and_chains(spark):
     assert {r.doc_id for r in kept.collect()} == set(got)
 
 
+def test_near_dup_links_large_families(spark):
+    """Over 5,000 different near copies, whose buckets the former default skipped."""
+    base = " ".join(f"w{i}" for i in range(200))
+    texts = [f"{base} edit{i}" for i in range(6000)]
+    found = near_dup.find(docs(spark, *texts, "another text of its own"), near_dup.Settings())
+    assert found.keep().count() == 2
+    assert found.skipped_buckets().count() == 0
+
+
+def test_near_dup_stars_give_the_components_of_all_pairs(spark):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(40)]
+    texts = []
+    for i in range(120):
+        own = list(base)
+        for _ in range(rng.randrange(1, 9)):
+            own[rng.randrange(40)] = f"edit{i}"
+        texts.append(" ".join(own))
+    for threshold in (0.5, 0.8):
+        s = near_dup.Settings(num_hashes=32, num_bands=32, threshold=threshold, star_from=2)
+        found = near_dup.find(docs(spark, *texts), s)
+        whole = {r.node: r.component for r in components(found.pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).collect()}
+        got = {r.id: r.component for r in found.membership.collect()}
+        assert got == {i: whole.get(i, i) for i in range(120)}
+        assert [got[i] for i in range(120)] == brute_groups(texts, s)
+
+
+def test_near_dup_reads_whole_texts(spark):
+    """Equal for 10,000 words, then different for twice as many."""
+    same = " ".join(f"w{i}" for i in range(10_000))
+    tail = lambda x: " ".join(f"{x}{i}" for i in range(20_000))
+    kept = near_dup.find(docs(spark, f"{same} {tail('a')}", f"{same} {tail('b')}")).keep()
+    assert kept.count() == 2
+
+
 def test_near_dup_settings():
     with pytest.raises(ValueError):
         near_dup.Settings(num_hashes=10, num_bands=3)
