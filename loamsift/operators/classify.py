@@ -22,7 +22,6 @@ from loamsift.operators.sampling import balanced
 
 DIMENSIONS = 1 << 16
 PER_LABEL = 800
-MAX_CHARS = 10_000
 LANGUAGE_THRESHOLD = 0.5
 
 
@@ -99,13 +98,15 @@ def scored(spark: SparkSession, model: Model, body: Column, empty: tuple[str, fl
     return F.when(given.isNull(), F.struct(F.lit(empty[0]).alias("label"), F.lit(empty[1]).alias("score"))).otherwise(run(given))
 
 
-def one_line(text: Column) -> Column:
-    """Line breaks as blanks, cut to MAX_CHARS characters."""
-    return F.substring(F.translate(text, "\n\r", "  "), 1, MAX_CHARS)
+def one_line(text: Column, max_chars: int | None = None) -> Column:
+    """Line breaks as blanks; ``max_chars`` cuts the text, as the surveyed scripts do at 10,000."""
+    flat = F.translate(text, "\n\r", "  ")
+    return flat if max_chars is None else F.substring(flat, 1, max_chars)
 
 
-def identify_language(spark: SparkSession, model: Model, text: Column) -> Column:
-    return scored(spark, model, one_line(text), ("unknown", 0.0))
+def identify_language(spark: SparkSession, model: Model, text: Column, max_chars: int | None = None) -> Column:
+    """struct(label, score) of the whole text, unless ``max_chars`` is given."""
+    return scored(spark, model, one_line(text, max_chars), ("unknown", 0.0))
 
 
 def is_english(found: Column, threshold: float = LANGUAGE_THRESHOLD) -> Column:
@@ -131,10 +132,10 @@ def quality_category(found: Column) -> Column:
     return F.when(found["label"] == "positive", "wiki").otherwise("cc")
 
 
-def classify_content(spark: SparkSession, model: Model, text: Column, kind: str) -> Column:
-    """struct(label, score): ``kind`` (nsfw, toxic) or non-``kind``, of the first MAX_CHARS characters."""
+def classify_content(spark: SparkSession, model: Model, text: Column, kind: str, max_chars: int | None = None) -> Column:
+    """struct(label, score): ``kind`` (nsfw, toxic) or non-``kind``, of the whole text, unless ``max_chars`` is given."""
     yes = {kind, "hate", "hatespeech", "1", "yes", "true", "positive"}
-    return scored(spark, model, one_line(text), (f"non-{kind}", 0.0), lambda x: kind if x.lower() in yes else f"non-{kind}")
+    return scored(spark, model, one_line(text, max_chars), (f"non-{kind}", 0.0), lambda x: kind if x.lower() in yes else f"non-{kind}")
 
 
 def model_from_environment(variable: str, default: Model | None = None) -> Model | None:

@@ -171,6 +171,21 @@ def test_classifiers(spark):
     assert got[2] == got[3] == "negative"
 
 
+def test_classifiers_read_whole_texts(spark):
+    """The second half of a text counts where it starts after 10,000 characters."""
+    en, de = "the cat and the dog of that house with them ", "der hund und die katze in dem haus mit ihnen "
+    model = classify.fit([en, de], ["en", "de"])
+    long = "a" * 10_000 + " " + de
+    df = docs(spark, long)
+    f = lambda *most: classify.identify_language(spark, model, F.col("text"), *most)
+    whole, cut = df.select(f().alias("whole"), f(10_000).alias("cut")).first()
+    assert whole.label == "de" and whole.score > cut.score
+    toxic = classify.fit(["kind words of a friend", "vile slur"], ["0", "1"])
+    bad = docs(spark, "kind words of a friend " * 500 + "vile slur " * 3, "kind words of a friend " * 500)
+    scores = [r.f.score if r.f.label == "toxic" else 1 - r.f.score for r in bad.select("doc_id", classify.classify_content(spark, toxic, F.col("text"), "toxic").alias("f")).orderBy("doc_id").collect()]
+    assert scores[0] > scores[1]
+
+
 def test_curation(spark):
     good = "The story of that house and the people who have lived with it. " * 20
     df = spark.createDataFrame([(0, good + " mail me a@b.co", "en"), (1, good, "de"), (2, "short", "en"), (3, "", "en"), (4, None, "en"), (5, f"<html><body><p>{good}</p></body></html>", "en")], "doc_id long, text string, lang string")
