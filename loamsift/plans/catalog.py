@@ -313,6 +313,17 @@ def near_dup_production(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find(documents(spark, sf_dir)).counts()
 
 
+@query()
+def near_dup_production_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dup.find(documents(spark, sf_dir)).membership
+    return found.select(F.col("id").alias("doc_id"), "component")
+
+
+@query()
+def near_dup_production_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.find(documents(spark, sf_dir)).keep().withColumnRenamed("id", "doc_id")
+
+
 # ---- languages and models --------------------------------------------------------------------------------------
 
 

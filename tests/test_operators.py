@@ -99,6 +99,17 @@ def test_near_dup_reads_whole_texts(spark):
     assert kept.count() == 2
 
 
+def test_near_dup_production_queries(spark, tmp_path):
+    from loamsift.plans import catalog
+
+    texts = [" ".join(f"{x}{i}" for i in range(300)) + f" edit{n}" for x in "abc" for n in range(3)] + ["", "short", "Short!"]
+    docs(spark, *texts).write.parquet(str(tmp_path / "documents.parquet"))
+    want = brute_groups(texts, near_dup.Settings())
+    got = {r.doc_id: r.component for r in catalog.QUERIES["near_dup_production_components"](spark, str(tmp_path)).collect()}
+    assert [got[i] for i in range(len(texts))] == want
+    assert {r.doc_id for r in catalog.QUERIES["near_dup_production_keep"](spark, str(tmp_path)).collect()} == set(want)
+
+
 def test_near_dup_settings():
     with pytest.raises(ValueError):
         near_dup.Settings(num_hashes=10, num_bands=3)
