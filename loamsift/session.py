@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,11 +32,52 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/loamsift-{uuid.uuid4().hex}"
 
 
+#: Folders of scratch tables that are still there.
+_scratch: set[str] = set()
+_CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _without_shuffle_files(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries within go as each query ends: what they fed is in a written table."""
+    before = spark.conf.get(_CLEAN_SHUFFLES, None)
+    spark.conf.set(_CLEAN_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEAN_SHUFFLES) if before is None else spark.conf.set(_CLEAN_SHUFFLES, before)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write a Parquet table into the shared scratch folder and read it back."""
+    """Cut the lineage: write a Parquet table into the shared scratch folder and read it back. It stays until ``release`` or the end of the program."""
     path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _scratch.add(path)
+    with _without_shuffle_files(df.sparkSession):
+        df.write.parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` gave and that no lazy DataFrame reads any more; others are left alone."""
+    for t in tables:
+        path = getattr(t, "_scratch_path", None)
+        if path in _scratch:
+            _delete(t.sparkSession.sparkContext, path)
+
+
+def _delete(context: SparkContext, path: str) -> None:
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    _scratch.discard(path)
+
+
+@atexit.register
+def _delete_all() -> None:
+    if (context := SparkContext._active_spark_context) is not None:
+        for path in list(_scratch):
+            _delete(context, path)
 
 
 #: Bytes of files for each core under which a table is dealt out anew: a small table is often one row group, which one task would read alone.
