@@ -10,10 +10,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from loamsift.session import materialize, scratch_dir, spread  # noqa: F401  (used as C.materialize)
+from loamsift.session import materialize, release, scratch_dir, spread  # noqa: F401  (used as C.materialize)
 
 SLICE_BYTES = 2 << 20
 PASS_BYTES = 1 << 20
@@ -180,14 +181,37 @@ def rows_per_partition(df: DataFrame, per: int, most: int = 1 << 20) -> int:
     return max(1, min(most, -(-df.count() // per)))
 
 
-#: Bytes of a written table's files beyond which it isn't broadcast, whatever its rows.
+#: Bytes in memory beyond which a table isn't broadcast, whatever its rows.
 BROADCAST_BYTES = 32 << 20
 
 
+def _width(kind: T.DataType, column: Column) -> Column:
+    """Bytes of a value in Spark's row format, its length word included."""
+    if isinstance(kind, T.ArrayType):
+        each = kind.elementType
+        if isinstance(each, T.ArrayType | T.StringType | T.BinaryType):
+            inner = F.aggregate(column, F.lit(0).cast("long"), lambda a, x: a + 8 + _width(each, x))
+        else:
+            inner = F.size(column).cast("long") * (8 if not isinstance(each, T.StructType) else 16 + 8 * len(each.fields))
+        return F.lit(24) + inner
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return F.lit(12) + F.octet_length(column).cast("long")
+    return F.lit(8).cast("long")
+
+
+def memory_bytes(found: DataFrame) -> tuple[int, int]:
+    """(rows, bytes in memory) of a written table, counted and not taken from the size of its compressed files."""
+    width = F.lit(16).cast("long")
+    for f in found.schema.fields:
+        width = width + F.coalesce(_width(f.dataType, F.col(f.name)), F.lit(8))
+    rows, size = found.agg(F.count("*"), F.coalesce(F.sum(width), F.lit(0))).first()
+    return int(rows), int(size)
+
+
 def is_small(found: DataFrame, most: int) -> bool:
     """Whether a written table is within BROADCAST_BYTES and ``most`` rows."""
-    size = int(found._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return size <= BROADCAST_BYTES and found.limit(most + 1).count() <= most
+    rows, size = memory_bytes(found)
+    return rows <= most and size <= BROADCAST_BYTES
 
 
 def with_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFrame:

@@ -8,6 +8,9 @@ left are the ends of intervals, whose strings are refined block by block, symbol
 (its common prefix with any other is shorter than ``length``) or the common prefix reaches ``length``. Nothing is sorted
 anew as a whole, and unique text leaves in the first round.
 
+Two lengths come from one pass over the corpus: a string of ``length`` bytes that recurs lies within a run of recurring strings of fewer bytes, so the longer ones are
+searched in those runs only. The shorter length is for passages: over 50 words may take fewer than 400 bytes.
+
 ``merge_transforms`` is the byte-wise form on whole Burrows-Wheeler transforms, for small collections and as the reference in tests: it needs a
 pass over all bytes for each byte of the longest common prefix up to ``length``, which the README's figures show to be too slow for whole corpora.
 """
@@ -18,23 +21,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamsift.llm import _common as C
 
 LENGTH = 400
+#: Passages are runs of at least so many words, covered by strings of so many bytes that also start elsewhere: 51 words of five bytes, less those that differ at an edge.
+PASSAGE_WORDS = 51
+PASSAGE_BYTES = 240
 GRAM = 8
 #: Members of a core beyond which it is dealt out by a salt and merged in two rounds.
 HOT = 20_000
-#: Up to so many keys of documents (and C.BROADCAST_BYTES) are broadcast to find their texts again; beyond, both sides are shuffled.
-BROADCAST_ROWS = 150_000
 SHARD_BYTES = 1 << 20
 
 
 def span_of(length: int) -> int:
-    """Window of k-gram places: large for few anchors, small for a selective core."""
-    return max(1, length * 12 // 25)
+    """Window of k-gram places: large for few anchors, small for a selective core; its last k-gram must end within the string."""
+    if length < GRAM:
+        raise ValueError(f"strings have at least {GRAM} bytes")
+    return min(length * 2 // 3, length - GRAM + 1)
 
 
 # ---- byte-wise merge -------------------------------------------------------------------------------------------
@@ -297,37 +303,69 @@ def resolve_ends(contexts: DataFrame, length: int) -> DataFrame:
     return dealt.mapInArrow(run, "doc_id long, text_key long, lo int, hi int, string long")
 
 
-def with_texts(docs: DataFrame, found: DataFrame, column: str, how: str) -> DataFrame:
-    """Join (doc_id, text_key, column) to the documents; ``found`` is a written table with a row for each key."""
-    small = C.is_small(found, BROADCAST_ROWS)
-    keyed = found.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), column)
-    same = F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t"))
-    return docs.join(F.broadcast(keyed) if small else keyed, same, how).drop("_d", "_t")
+def with_texts(docs: DataFrame, found: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Join (doc_id, text_key, *columns), a row for each key, to the documents. Both sides are shuffled: ``found`` grows with the documents."""
+    keyed = found.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), *columns)
+    return docs.join(keyed, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")), how).drop("_d", "_t")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(doc_id, text_key, spans): maximal runs (start, stop) of bytes covered by a string of ``length`` bytes that also starts elsewhere.
 
-    ``docs`` has doc_id, text and text_key. Only documents with such a run have a row.
+    ``docs`` has doc_id, text and text_key. Only documents with such a run have a row. The result is a written table.
     """
     found = C.materialize(shard_anchors(docs, length, shard_bytes))
     own = found.where("kind = 0")
     place = F.struct("doc_id", "text_key", "at", "lo", "hi")
-    blocks = C.materialize(own.groupBy("core", "full").agg(F.sum("n").alias("n"), F.count("*").alias("shards"), F.min(place).alias("one")))
-    cores = blocks.groupBy("core").agg(F.count("*").alias("fulls")).where("fulls > 1")
+    # Unique text leaves here: of most cores there is one suffix. several: more than one neighbourhood.
+    cores = own.groupBy("core").agg(F.sum("n").alias("_n"), (F.min("full") != F.max("full")).alias("several")).where("_n > 1").drop("_n")
+    shared = C.materialize(own.join(cores, "core").unionByName(found.where("kind = 1").withColumn("several", F.lit(False))))
+    C.release(found)
+    own = shared.where("kind = 0")
+    blocks = C.materialize(own.groupBy("core", "full").agg(F.sum("n").alias("n"), F.count("*").alias("shards"), F.min(place).alias("one"), F.bool_or("several").alias("several")))
+    cores = blocks.where("several").groupBy("core").agg(F.count("*").alias("fulls"))
     # Inner places: a neighbourhood that two shards share; those that one shard repeats were given by the shard itself.
     inner = own.join(blocks.where("shards > 1").select("core", "full"), ["core", "full"], "left_semi").select("doc_id", "text_key", "lo", "hi")
-    ends = blocks.join(cores, "core").select("core", F.least("n", F.lit(2)).alias("n"), "one.*", F.ceil(F.col("fulls") / hot).cast("long").alias("salts"))
+    ends = blocks.where("several").join(cores, "core").select("core", F.least("n", F.lit(2)).alias("n"), "one.*", F.ceil(F.col("fulls") / hot).cast("long").alias("salts"))
     wanted = F.collect_list(F.struct("core", "salts", "n", "at", "lo", "hi")).alias("wanted")
     by_doc = C.materialize(ends.groupBy("doc_id", "text_key").agg(wanted))
-    contexts = with_texts(docs, by_doc, "wanted", "inner").mapInArrow(_cut(length), CONTEXT)
+    contexts = with_texts(docs.where(F.octet_length("text") >= length), by_doc, ["wanted"], "inner").mapInArrow(_cut(length), CONTEXT)
     salted = contexts.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key", "at"), F.col("salts")))
     resolved = C.materialize(resolve_ends(salted, length))
     again = resolved.where("string IS NOT NULL").groupBy("string").agg(F.count("*").alias("k"), F.collect_list(F.when(F.col("lo").isNotNull(), F.struct("doc_id", "text_key", "lo", "hi"))).alias("open")).where("k > 1")
     across = again.select(F.explode("open").alias("x")).select("x.*")
-    starts = inner.unionByName(resolved.where("string IS NULL").drop("string")).unionByName(across).unionByName(found.where("kind = 1").select("doc_id", "text_key", "lo", "hi"))
+    starts = inner.unionByName(resolved.where("string IS NULL").drop("string")).unionByName(across).unionByName(shared.where("kind = 1").select("doc_id", "text_key", "lo", "hi"))
     runs = starts.groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("lo", "hi"))).alias("starts"))
-    return runs.mapInArrow(_merge_runs(length), "doc_id long, text_key long, spans array<array<int>>")
+    out = C.materialize(runs.mapInArrow(_merge_runs(length), "doc_id long, text_key long, spans array<array<int>>"))
+    C.release(shared, blocks, by_doc, resolved)
+    return out
+
+
+def spans_within(docs: DataFrame, near: DataFrame, length: int, hot: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """repeated_spans of ``docs`` for ``length``, from ``near``, those of a shorter length: each of its runs that is long enough is searched as a text of its own."""
+    long_ = near.select("doc_id", "text_key", F.filter("spans", lambda x: x[1] - x[0] >= length).alias("runs")).where(F.size("runs") > 0)
+    runs = C.materialize(long_)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.slices(batches, limit=SHARD_BYTES):
+            raw, offs = C.string_bytes(batch.column("text"))
+            data, own = raw.tobytes(), batch.column("runs").to_pylist()
+            row = np.repeat(np.arange(len(own)), [len(x) for x in own])
+            start = [a for x in own for a, _ in x]
+            part = [data[offs[r] + a : offs[r] + z] for r, x in enumerate(own) for a, z in x]
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(start, pa.int32()), pa.array(part, pa.binary())], names=["doc_id", "base", "start", "text"])
+
+    parts = with_texts(docs, runs, ["runs"], "inner").select("doc_id", "text_key", "text", "runs").mapInArrow(cut, "doc_id long, base long, start int, text binary")
+    parts = C.materialize(parts.withColumn("text_key", F.xxhash64("base", "start")))
+    found = repeated_spans(parts.select("doc_id", "text_key", "text"), length, hot, shard_bytes)
+    place = parts.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "base", "start").distinct()
+    back = found.join(place, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")))
+    moved = F.transform("spans", lambda x: F.array(x[0] + F.col("start"), x[1] + F.col("start")))
+    whole = back.select("doc_id", F.col("base").alias("text_key"), moved.alias("spans")).groupBy("doc_id", "text_key").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    out = C.materialize(whole)
+    C.release(runs, parts, found)
+    return out
 
 
 CONTEXT = "core long, salts long, n long, doc_id long, text_key long, at int, lo int, hi int, bytes binary"
@@ -378,43 +416,57 @@ def _merge_runs(length: int):
     return run
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """Per document row: doc_id, kept (binary), n_bytes, spans (removed runs, in bytes of the input).
+def remove_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT, shard_bytes: int = SHARD_BYTES, passage: int = PASSAGE_BYTES, words: int = PASSAGE_WORDS) -> DataFrame:
+    """Per document row: doc_id, kept (binary), n_bytes, spans (removed runs, in bytes of the input) and passages.
 
     Texts are UTF-8 bytes, a null text is empty; matches don't cross documents. All strings are judged on the input. A repeated row is another document, so all its
-    strings of ``length`` bytes recur; so are rows with a null doc_id. Texts under ``length`` bytes are kept whole.
+    strings of ``length`` bytes recur; so are rows with a null doc_id. Texts under ``length`` bytes are kept whole. passages are the maximal runs covered by strings of
+    ``passage`` bytes (fewer than ``length``) that also start elsewhere, of at least ``words`` pieces between ASCII white space; they are reported, and removed only where spans say so.
     """
+    if not 0 < passage < length:
+        raise ValueError("passage must be shorter than length")
     own = C.keyed_rows(docs).withColumn("text_key", F.xxhash64("text"))
-    spans = C.materialize(repeated_spans(own, length, hot, shard_bytes))
-    joined = with_texts(own, spans, "spans", "left")
+    near = repeated_spans(own, passage, hot, shard_bytes)
+    spans = spans_within(own, near, length, hot, shard_bytes)
+    either = spans.select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_t"), "spans")
+    both = C.materialize(near.withColumnRenamed("spans", "passages").join(either, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_key") == F.col("_t")), "left").drop("_d", "_t"))
+    C.release(near, spans)
+    joined = with_texts(own, both, ["spans", "passages"], "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        runs = pa.list_(pa.list_(pa.int32()))
         for batch in C.slices(batches):
             raw, offs = C.string_bytes(batch.column("text"))
             data = raw.tobytes()
-            kept = [_without(data[offs[r] : offs[r + 1]], spans or ()) for r, spans in enumerate(batch.column("spans").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept, pa.binary()), pa.array(np.diff(offs)), pa.array([x or [] for x in batch.column("spans").to_pylist()], pa.list_(pa.list_(pa.int32())))], names=["doc_id", "kept", "n_bytes", "spans"])
+            spans, near = ([x or [] for x in batch.column(c).to_pylist()] for c in ("spans", "passages"))
+            kept = [_without(data[offs[r] : offs[r + 1]], x) for r, x in enumerate(spans)]
+            near = [[[a, z] for a, z in x if len(data[offs[r] + a : offs[r] + z].split()) >= words] for r, x in enumerate(near)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(kept, pa.binary()), pa.array(np.diff(offs)), pa.array(spans, runs), pa.array(near, runs)], names=["doc_id", "kept", "n_bytes", "spans", "passages"])
 
-    return joined.select("doc_id", "text", "spans").mapInArrow(run, "doc_id long, kept binary, n_bytes long, spans array<array<int>>")
+    return joined.select("doc_id", "text", "spans", "passages").mapInArrow(run, "doc_id long, kept binary, n_bytes long, spans array<array<int>>, passages array<array<int>>")
 
 
-def deduplicate(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """``docs`` with the repeated strings cut out of ``text``, n_chars following it; all columns stay.
+def deduplicate(docs: DataFrame, length: int = LENGTH, passage: int = PASSAGE_BYTES, words: int = PASSAGE_WORDS) -> DataFrame:
+    """``docs`` with repeated passages cut out of ``text``, n_chars following it; all columns stay.
 
-    Bytes of a character that is cut in two are left out. A null text stays null; a text that is removed as a whole is empty.
+    A passage is a maximal run of bytes covered by strings of ``passage`` bytes that also start elsewhere; it goes if it has ``length`` bytes or ``words`` pieces between
+    ASCII white space. So every string of ``length`` bytes that recurs goes, and every passage of over 50 words that recurs and has ``passage`` bytes.
+    Bytes of a character that is cut in two are left out. A null text stays null; a text that is removed as a whole is empty. Repeated rows lose all that is long enough.
     """
     own = C.keyed_rows(docs).withColumn("text_key", F.xxhash64("text"))
-    spans = C.materialize(repeated_spans(own, length)).select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("spans").alias("__spans"))
-    small = C.is_small(spans, BROADCAST_ROWS)
+    spans = repeated_spans(own, passage)
+    keyed = spans.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("spans").alias("__spans"))
     same = docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__t"))
-    joined = docs.join(F.broadcast(spans) if small else spans, same, "left").drop("__d", "__t")
+    joined = docs.join(keyed, same, "left").drop("__d", "__t")
     names = docs.columns
 
     def change(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
         data, texts = raw.tobytes(), batch.column("text").to_pylist()
         for r, found in enumerate(batch.column("__spans").to_pylist()):
             if found:
-                texts[r] = _without(data[offs[r] : offs[r + 1]], found).decode("utf-8", "ignore")
+                own = data[offs[r] : offs[r + 1]]
+                gone = [(a, z) for a, z in found if z - a >= length or len(own[a:z].split()) >= words]
+                texts[r] = _without(own, gone).decode("utf-8", "ignore") if gone else texts[r]
         cols = {c: batch.column(c) for c in [*names, "__spans"]}
         cols["text"] = pa.array(texts, batch.schema.field("text").type)
         if "n_chars" in cols:
@@ -432,23 +484,37 @@ def _without(text: bytes, spans: list) -> bytes:
     return b"".join([*parts, text[at:]])
 
 
+def _total(spans: str) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, x: a + x[1] - x[0])
+
+
 def digest(done: DataFrame) -> DataFrame:
-    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, x: a + x[1] - x[0])
-    return done.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    """The contract's columns; then how many passages of over 50 words recur (n_passages), and their bytes."""
+    passages = (F.size("passages").cast("long").alias("n_passages"), _total("passages").alias("passage_bytes"))
+    return done.select("doc_id", "n_bytes", _total("spans").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), *passages)
 
 
 def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(remove_repeats(C.table(spark, sf_dir, "documents")))
 
 
-ORACLE = f"""
-WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b FROM documents),
-w AS (SELECT doc_id, p, md5(b[p : p + {LENGTH - 1}]) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - {LENGTH - 2})) AS p FROM d WHERE octet_length(b) >= {LENGTH})),
-r AS (SELECT doc_id, p FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
-g AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= {LENGTH} THEN 0 ELSE 1 END AS new FROM r)),
-s AS (SELECT doc_id, min(p) AS a, max(p) + {LENGTH} AS z FROM g GROUP BY doc_id, run),
+def _runs_sql(name: str, length: int) -> str:
+    """Common table expressions: ``name`` has doc_id and, in order, the starts (a) and ends (z) of the runs, from 1 and past the last byte."""
+    return f"""w{name} AS (SELECT doc_id, p, md5(b[p : p + {length - 1}]) AS h FROM (SELECT doc_id, b, unnest(range(1, octet_length(b) - {length - 2})) AS p FROM d WHERE octet_length(b) >= {length})),
+r{name} AS (SELECT doc_id, p FROM w{name} WHERE h IN (SELECT h FROM w{name} GROUP BY h HAVING count(*) > 1)),
+g{name} AS (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM (SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= {length} THEN 0 ELSE 1 END AS new FROM r{name})),
+{name} AS (SELECT doc_id, min(p) AS a, max(p) + {length} AS z FROM g{name} GROUP BY doc_id, run)"""
+
+
+ORACLE = rf"""
+WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS b, hex(encode(coalesce(text, ''))) AS x FROM documents),
+{_runs_sql("s", LENGTH)},
+{_runs_sql("q", PASSAGE_BYTES)},
 l AS (SELECT doc_id, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z, sum(z - a) AS n_removed, count(*) AS n_spans FROM s GROUP BY doc_id),
 k AS (SELECT doc_id, octet_length(b) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
-  CASE WHEN l.a IS NULL THEN b ELSE list_reduce(list_prepend(b[1 : l.a[1] - 1], list_transform(range(1, len(l.a) + 1), lambda i: b[l.z[i] : coalesce(l.a[i + 1], octet_length(b) + 1) - 1])), lambda x, y: x || y) END AS kept FROM d LEFT JOIN l USING (doc_id))
-SELECT doc_id, n_bytes::BIGINT AS n_bytes, n_removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans, sha256(kept) AS kept_sha256 FROM k
+  CASE WHEN l.a IS NULL THEN b ELSE list_reduce(list_prepend(b[1 : l.a[1] - 1], list_transform(range(1, len(l.a) + 1), lambda i: b[l.z[i] : coalesce(l.a[i + 1], octet_length(b) + 1) - 1])), lambda x, y: x || y) END AS kept FROM d LEFT JOIN l USING (doc_id)),
+p AS (SELECT doc_id, count(*) AS n_passages, sum(z - a) AS passage_bytes FROM q JOIN d USING (doc_id)
+  WHERE len(list_filter(regexp_split_to_array(regexp_replace(substring(x, (2 * a - 1)::BIGINT, (2 * (z - a))::BIGINT), '(..)', '\1 ', 'g'), '(09|0A|0B|0C|0D|20) '), lambda y: y <> '')) >= {PASSAGE_WORDS} GROUP BY doc_id)
+SELECT doc_id, n_bytes::BIGINT AS n_bytes, n_removed::BIGINT AS n_removed, n_spans::BIGINT AS n_spans, sha256(kept) AS kept_sha256, coalesce(n_passages, 0)::BIGINT AS n_passages, coalesce(passage_bytes, 0)::BIGINT AS passage_bytes
+FROM k LEFT JOIN p USING (doc_id)
 """

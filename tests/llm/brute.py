@@ -65,16 +65,34 @@ def contamination(rows, items, window=10):
     return sorted(out, key=repr)
 
 
-def repeats(rows, length):
-    """(doc_id, n_bytes, n_removed, n_spans, kept) of each row."""
+def repeated_runs(rows, length):
+    """(doc_id, bytes, maximal runs of bytes covered by a string of ``length`` bytes that also starts elsewhere) of each row."""
     data = [(i, (t or "").encode()) for i, t in rows]
     count = Counter(b[p : p + length] for _, b in data for p in range(len(b) - length + 1))
     out = []
     for i, b in data:
-        covered = [False] * len(b)
+        covered = [False] * (len(b) + 1)
         for p in range(len(b) - length + 1):
             if count[b[p : p + length]] > 1:
                 covered[p : p + length] = [True] * length
-        spans = sum(1 for q, c in enumerate(covered) if c and (q == 0 or not covered[q - 1]))
-        out.append((i, len(b), sum(covered), spans, bytes(x for x, c in zip(b, covered, strict=True) if not c)))
+        edges = [q for q in range(len(b) + 1) if covered[q] != (q > 0 and covered[q - 1])]
+        out.append((i, b, list(zip(edges[::2], edges[1::2], strict=True))))
     return out
+
+
+def without(b, runs):
+    return b"".join(b[a:z] for a, z in zip([0, *(z for _, z in runs)], [*(a for a, _ in runs), len(b)], strict=True))
+
+
+def repeats(rows, length, passage, words):
+    """(doc_id, n_bytes, n_removed, n_spans, kept, n_passages, passage_bytes) of each row."""
+    out = []
+    for (i, b, runs), (_, _, near) in zip(repeated_runs(rows, length), repeated_runs(rows, passage), strict=True):
+        own = [z - a for a, z in near if len(b[a:z].split()) >= words]
+        out.append((i, len(b), sum(z - a for a, z in runs), len(runs), without(b, runs), len(own), sum(own)))
+    return out
+
+
+def without_passages(rows, length, passage, words):
+    """(doc_id, kept bytes) of each row."""
+    return [(i, without(b, [(a, z) for a, z in near if z - a >= length or len(b[a:z].split()) >= words])) for i, b, near in repeated_runs(rows, passage)]

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import public_tokenizers
-from brute import components, contamination, repeats
+from brute import components, contamination, without_passages
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
 from loamsift.llm import _common as C
 from loamsift.llm import quality_nbsvm as Q
+from loamsift.llm import suffix_dedup as S
 
 
 def test_stages_against_brute_force(spark, sf):
@@ -30,7 +31,7 @@ def test_stages_against_brute_force(spark, sf):
     two = text(held["near_duplicates"])
     assert two == {i: one[i] for i, _, c in components(list(one.items())) if i == c}
     three = text(held["repeated_strings"])
-    assert three == {i: k.decode("utf-8", "ignore") for i, _, _, _, k in repeats(list(two.items()), 400)}
+    assert three == {i: k.decode("utf-8", "ignore") for i, k in without_passages(list(two.items()), S.LENGTH, S.PASSAGE_BYTES, S.PASSAGE_WORDS)}
     four = text(held["benchmark_free"])
     assert four == {i: three[i] for i, *_, bad in contamination(list(three.items()), bench) if not bad}
     exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
