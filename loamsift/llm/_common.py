@@ -219,11 +219,6 @@ def with_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFr
     return rows.join(F.broadcast(found) if is_small(found, most) else found, key)
 
 
-def without_small(rows: DataFrame, found: DataFrame, key: str, most: int) -> DataFrame:
-    """Rows whose ``key`` isn't in a written table, joined as in with_small."""
-    return rows.join(F.broadcast(found) if is_small(found, most) else found, key, "left_anti")
-
-
 def passing(docs: DataFrame, text: str, change) -> DataFrame:
     """``docs`` through ``change(batch, raw, offs) -> batch``, all columns kept; raw and offs are the bytes of ``text``, null as empty."""
 

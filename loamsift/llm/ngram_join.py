@@ -1,13 +1,14 @@
 """N-gram Jaccard join: a blocked sparse matrix product of the documents' n-gram incidence.
 
-1. A document's set is the hashes of its distinct word n-grams. Equal sets are one class, whose smallest doc_id stands for it.
+1. A document's set is the hashes of its distinct word n-grams. Equal sets are one class, which has a number of its own and the text of one row; all that follows works on classes, so a doc_id
+   may repeat.
 2. Bounds by size: if two sets reach the threshold t, they share one of the first n - ceil(t n) + 1 n-grams of each in any common order. Rare n-grams come
    first (by a sketch of counts of fixed size over all documents), so common passages are not in these prefixes. Documents that share a prefix n-gram and whose sizes allow the
    threshold are joined in stars; no pair across connected components of those can reach t.
 3. Within a component, parity bits of the sets (an odd sketch) bound every overlap from above. Pairs whose bits don't allow t are discarded; components of the rest are the blocks.
 4. Each block (or pair of parts, if a block is large) multiplies its incidence with its transpose, which counts every overlap, discards the pairs
    below the bound that their sizes give, and returns links enough to connect what is linked.
-5. Components of the links, smallest doc_id first.
+5. Components of the links, named by the smallest doc_id of their classes.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ BLOCK_DOCUMENTS = 1_024
 BLOCK_GRAMS = 1 << 20
 BITS_DOCUMENTS = 4_096
 BITS_BYTES = 8 << 20
+#: A dense column costs so many times less for each pair of rows than a sparse one for each pair of entries.
+DENSE_RATIO = 100
+PAIRS_AT_ONCE = 1 << 20
 BROADCAST_ROWS = 150_000
 SLICE = 1 << 20
 
@@ -76,24 +80,24 @@ def parity_bits(g: np.ndarray, first: np.ndarray) -> list[bytes]:
 
 
 def survey(docs: DataFrame, k: int = WORDS) -> DataFrame:
-    """kind 0: doc_id, n, two sums (s1, s2) that name the set, and its parity bits; kind 1: parts of a task's n-gram counts (chunk in n, counters in counts)."""
+    """kind 0: doc_id, text_key, n, two sums (s1, s2) that name the set, and its parity bits; kind 1: parts of a task's n-gram counts (chunk in n, counters in counts)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_LOG2, np.int64)
-        names = ["kind", "doc_id", "n", "s1", "s2", "bits", "counts"]
+        names = ["kind", "doc_id", "text_key", "n", "s1", "s2", "bits", "counts"]
         for batch in C.slices(batches, limit=SLICE):
             g, first = shingle_sets(*C.string_bytes(batch.column("text")), k)
             counts += np.bincount((g >> np.uint64(64 - SKETCH_LOG2)).astype(np.int64), minlength=len(counts))
             n = len(first) - 1
             s1, s2 = _sum_rows(C.mix(g), first), _sum_rows(C.mix(g ^ np.uint64(0xA5A5A5A55A5A5A5A)), first)
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column("doc_id"), pa.array(np.diff(first)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(parity_bits(g, first), pa.binary()), pa.nulls(n, pa.binary())], names=names)
+            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(n, np.int32)), batch.column("doc_id"), batch.column("text_key"), pa.array(np.diff(first)), pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)), pa.array(parity_bits(g, first), pa.binary()), pa.nulls(n, pa.binary())], names=names)
         for c in range(0, len(counts), SKETCH_CHUNK):
             part = counts[c : c + SKETCH_CHUNK]
             if part.any():
-                row = [pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.array([c // SKETCH_CHUNK], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([part.tobytes()], pa.binary())]
+                row = [pa.array([1], pa.int32()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.array([c // SKETCH_CHUNK], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([part.tobytes()], pa.binary())]
                 yield pa.RecordBatch.from_arrays(row, names=names)
 
-    return docs.mapInArrow(run, "kind int, doc_id long, n long, s1 long, s2 long, bits binary, counts binary")
+    return docs.mapInArrow(run, "kind int, doc_id long, text_key long, n long, s1 long, s2 long, bits binary, counts binary")
 
 
 def sketch(surveyed: DataFrame) -> np.ndarray:
@@ -316,50 +320,58 @@ def product(members: list[Member], left: int, right: int, percent: int) -> list[
 
 
 def _overlaps(a: list[Member], b: list[Member]) -> np.ndarray:
-    """The product of two incidence matrices. Columns are taken in strips; those of one side only are left out."""
+    """The product of two sparse incidence matrices: overlap counts of all rows. Columns of one side only are left out; columns with few entries are multiplied entry by entry,
+    those with many, which a family shares, in dense strips."""
     ga, gb = np.concatenate([m.grams for m in a]), np.concatenate([m.grams for m in b])
     ra, rb = np.repeat(np.arange(len(a)), [len(m.grams) for m in a]), np.repeat(np.arange(len(b)), [len(m.grams) for m in b])
-    out = np.zeros((len(a), len(b)), np.int64)
-    if len(a) * len(b) <= 64:  # few rows: merge pairs of rows
-        for i, x in enumerate(a):
-            for j, y in enumerate(b):
-                if a is not b or i < j:
-                    out[i, j] = len(np.intersect1d(x.grams, y.grams, assume_unique=True))
-        return out + out.T if a is b else out
-    column, inverse, count = np.unique(ga, return_inverse=True, return_counts=True)
-    if a is b:
-        use = count[inverse] > 1
-        ca, ra = inverse[use], ra[use]
-        cb, rb = ca, ra
-    else:
-        at = np.minimum(np.searchsorted(column, gb), len(column) - 1)
-        hit = column[at] == gb
-        cb, rb = at[hit], rb[hit]
-        use = np.isin(inverse, cb)
-        ca, ra = inverse[use], ra[use]
-    kept, ca = np.unique(ca, return_inverse=True)
-    cb = ca if a is b else np.searchsorted(kept, cb)
-    oa = np.argsort(ca, kind="stable")
-    ca, ra = ca[oa], ra[oa]
-    if a is b:
-        cb, rb = ca, ra
-    else:
-        ob = np.argsort(cb, kind="stable")
-        cb, rb = cb[ob], rb[ob]
+    kept = np.intersect1d(ga, gb)
+    (ca, ra), (cb, rb) = _columns(ga, ra, kept), _columns(gb, rb, kept)
+    na, nb = np.bincount(ca, minlength=len(kept)), np.bincount(cb, minlength=len(kept))
+    light = na * nb * DENSE_RATIO < len(a) * len(b)
+    out = _entries(ca[light[ca]], ra[light[ca]], cb[light[cb]], rb[light[cb]], (len(a), len(b)))
+    heavy = np.flatnonzero(~light)
+    at = np.cumsum(~light) - 1
+    (ca, ra), (cb, rb) = ((at[c[~light[c]]], r[~light[c]]) for c, r in ((ca, ra), (cb, rb)))
     strip = max(256, (2 << 20) // (len(a) + len(b)))
-    for c in range(0, len(kept), strip):
-        x = np.zeros((len(a), min(strip, len(kept) - c)), np.float32)
-        p, q = np.searchsorted(ca, (c, c + strip))
-        x[ra[p:q], ca[p:q] - c] = 1
-        y = x
-        if a is not b:
-            y = np.zeros((len(b), x.shape[1]), np.float32)
-            p, q = np.searchsorted(cb, (c, c + strip))
-            y[rb[p:q], cb[p:q] - c] = 1
+    for c in range(0, len(heavy), strip):
+        width = min(strip, len(heavy) - c)
+        x, y = _dense(ca, ra, c, width, len(a)), _dense(cb, rb, c, width, len(b))
         out += np.rint(x @ y.T).astype(np.int64)
     return out
 
 
+def _columns(grams: np.ndarray, row: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(column, row) of the entries whose n-gram is among ``kept``, by column."""
+    if not len(kept):
+        return np.zeros(0, np.int64), row[:0]
+    at = np.minimum(np.searchsorted(kept, grams), len(kept) - 1)
+    hit = kept[at] == grams
+    order = np.argsort(at[hit], kind="stable")
+    return at[hit][order], row[hit][order]
+
+
+def _entries(ca: np.ndarray, ra: np.ndarray, cb: np.ndarray, rb: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """The product entry by entry: each pair of entries in one column adds one, a bounded number of pairs at a time."""
+    out = np.zeros(shape[0] * shape[1], np.int64)
+    low, high = np.searchsorted(cb, ca), np.searchsorted(cb, ca, "right")
+    upto = np.concatenate([[0], np.cumsum(high - low)])
+    at = 0
+    while at < len(ca):
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] + PAIRS_AT_ONCE, "right")) - 1)
+        n = (high - low)[at:end]
+        other = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low[at:end], n)
+        out += np.bincount(np.repeat(ra[at:end], n) * shape[1] + rb[other], minlength=len(out))
+        at = end
+    return out.reshape(shape)
+
+
+def _dense(column: np.ndarray, row: np.ndarray, start: int, width: int, rows: int) -> np.ndarray:
+    p, q = np.searchsorted(column, (start, start + width))
+    out = np.zeros((rows, width), np.float32)
+    out[row[p:q], column[p:q] - start] = 1
+    return out
+
+
 def _forest(linked: np.ndarray, a: list[int], b: list[int], square: bool) -> list[tuple[int, int]]:
     """Edges of a spanning forest of a (bipartite) link matrix."""
     out = []
@@ -438,41 +450,65 @@ def block_links(docs: DataFrame, blocks: DataFrame, percent: int, k: int) -> Dat
     return dealt.mapInArrow(multiply, "u long, v long")
 
 
-def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int = HOT_GRAM, block_documents: int = BLOCK_DOCUMENTS, bits_documents: int = BITS_DOCUMENTS) -> DataFrame:
-    """Per document row: doc_id, n_shingles, class_id (the smallest doc_id of an equal set) and component_id (the smallest doc_id reachable).
+@dataclass
+class Linked:
+    """rows: a row for each document row (doc_id, text_key, n, s1, s2); classes: (s1, s2, n, class_id, component_id, first_key), where (component_id, first_key) is the row that stays."""
 
-    Words are runs of bytes other than ASCII white space, A-Z lowered. A null or blank text has no n-grams, and is alone. Repeated rows each get their row. Rows
-    that share a doc_id count as linked to each other if their texts are linked to anything; rows without doc_id get their size and no component, and link nothing.
-    """
-    own = C.keyed_rows(docs)
+    rows: DataFrame
+    classes: DataFrame
+
+
+def linked(docs: DataFrame, percent: int, words: int, hot: int, block_documents: int, bits_documents: int) -> Linked:
+    own = C.keyed_rows(docs).withColumn("text_key", F.xxhash64("text"))
     surveyed = C.materialize(survey(own, words))
     rows = surveyed.where("kind = 0").drop("kind", "counts")
     full = rows.where("n > 0 AND doc_id IS NOT NULL")
-    classes = C.materialize(full.groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("node"), F.min("bits").alias("bits")))
-    copies = C.materialize(full.drop("bits").join(classes.drop("bits"), ["s1", "s2", "n"]).where("doc_id <> node").select("doc_id").distinct())
-    chosen = C.without_small(own.where("doc_id IS NOT NULL"), copies, "doc_id", BROADCAST_ROWS)
-    index = prefix_index(chosen, sketch(surveyed), percent, words, hot)
-    starred = C.materialize(stars(index, percent))
-    near = starred.where("gram IS NULL").select("u", "v").unionByName(join_salts(starred.where("gram IS NOT NULL"), percent)).distinct()
-    sizes = classes.groupBy("node").agg(F.max("n").alias("n"), F.max_by("bits", "n").alias("bits"))
-    candidates = components(C.materialize(near)).join(sizes, "node")
+    named = full.groupBy("s1", "s2", "n").agg(F.min(F.struct("doc_id", "text_key")).alias("first"), F.min("bits").alias("bits"))
+    # A class has a number of its own, which its written table fixes.
+    classes = C.materialize(named.select("s1", "s2", "n", "first.doc_id", "first.text_key", "bits", F.monotonically_increasing_id().alias("node")))
+    numbered = C.materialize(own.join(classes.select("doc_id", "text_key", "node"), ["doc_id", "text_key"]).select(F.col("node").alias("doc_id"), "text"))
+    starred = C.materialize(stars(prefix_index(numbered, sketch(surveyed), percent, words, hot), percent))
+    near = C.materialize(starred.where("gram IS NULL").select("u", "v").unionByName(join_salts(starred.where("gram IS NOT NULL"), percent)).distinct())
+    sizes = classes.select("node", "n", "bits")
+    candidates = components(near).join(sizes, "node")
     dealt = windows(candidates.withColumn("size", F.octet_length("bits")), bits_documents, BITS_BYTES, "size", percent)
-    closer = components(C.materialize(near_bits(dealt, percent).distinct()))
-    blocks = windows(closer.join(sizes.drop("bits"), "node"), block_documents, BLOCK_GRAMS, "n", percent)
+    nearer = C.materialize(near_bits(dealt, percent).distinct())
+    blocks = windows(components(nearer).join(sizes.drop("bits"), "node"), block_documents, BLOCK_GRAMS, "n", percent)
     place = F.struct(F.col("component").alias("block"), "window", "part", "parts")
     blocks = C.materialize(blocks.groupBy(F.col("node").alias("doc_id")).agg(F.collect_set(place).alias("places")))
-    links = C.materialize(block_links(own, blocks, percent, words))
+    links = C.materialize(block_links(numbered, blocks, percent, words))
+    C.release(numbered, starred, near, nearer, blocks)
     groups = components(links)
-    named = classes.join(groups, "node", "left").select("s1", "s2", "n", F.col("node").alias("class_id"), F.coalesce("component", "node").alias("component_id"))
-    out = rows.drop("bits").join(named, ["s1", "s2", "n"], "left")
-    alone = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("class_id", "doc_id")).alias("class_id"), alone.alias("component_id"))
+    first = groups.join(classes, "node").groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    found = C.materialize(groups.join(first, "component").select("node", F.col("first.doc_id").alias("component_id"), F.col("first.text_key").alias("first_key")))
+    named = classes.join(found, "node", "left").select("s1", "s2", "n", F.col("doc_id").alias("class_id"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("first_key", "text_key").alias("first_key"))
+    return Linked(rows.drop("bits"), named)
 
 
-def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataFrame:
-    """``docs`` with one document, that of the smallest doc_id, of each component; all columns stay. Rows without doc_id stay."""
-    extra = C.materialize(link(docs, percent, words).where("component_id <> doc_id").select("doc_id").distinct())
-    return C.without_small(docs, extra, "doc_id", BROADCAST_ROWS)
+def link(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int = HOT_GRAM, block_documents: int = BLOCK_DOCUMENTS, bits_documents: int = BITS_DOCUMENTS) -> DataFrame:
+    """Per document row: doc_id, n_shingles, class_id (the smallest doc_id of an equal set) and component_id (the smallest doc_id reachable).
+
+    Words are runs of bytes other than ASCII white space, A-Z lowered. A null or blank text has no n-grams, and is alone. Repeated rows each get their row. Rows link by
+    their texts alone: rows that share a doc_id but not a text may be in different components. Rows without doc_id get their size and no component, and link nothing.
+    """
+    got = linked(docs, percent, words, hot, block_documents, bits_documents)
+    out = got.rows.join(got.classes.drop("first_key"), ["s1", "s2", "n"], "left")
+    named = lambda c: F.when(F.col("doc_id").isNotNull(), F.coalesce(c, "doc_id")).alias(c)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), named("class_id"), named("component_id"))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: int = HOT_GRAM, block_documents: int = BLOCK_DOCUMENTS, bits_documents: int = BITS_DOCUMENTS) -> DataFrame:
+    """``docs`` with one document, that of the smallest doc_id, of each component; all columns stay.
+
+    Rows without doc_id and rows without words stay. Rows that repeat both doc_id and text are one document, and stay or go together; of rows that share only the doc_id each
+    is judged by its own text.
+    """
+    got = linked(docs, percent, words, hot, block_documents, bits_documents)
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("first_key"))
+    leave = got.rows.where("doc_id IS NOT NULL").join(got.classes, ["s1", "s2", "n"]).where(~stays)
+    extra = C.materialize(leave.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t")).distinct())
+    same = (docs["doc_id"].cast("long") == F.col("__d")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("__t"))
+    return docs.join(F.broadcast(extra) if C.is_small(extra, BROADCAST_ROWS) else extra, same, "left_anti")
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

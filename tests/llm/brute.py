@@ -45,6 +45,15 @@ def components(rows, percent=75, k=5):
     return sorted((i, len(s), find(i)) for i, s in sets.items())
 
 
+def row_components(rows, percent=75, k=5):
+    """components, where rows may share a doc_id: each row links by its own text."""
+    found = components([(j, t) for j, (_, t) in enumerate(rows)], percent, k)
+    low = {}
+    for j, _, c in found:
+        low[c] = min(low.get(c, rows[j][0]), rows[j][0])
+    return sorted((rows[j][0], n, low[c]) for j, n, c in found)
+
+
 def contamination(rows, items, window=10):
     grams = defaultdict(set)
     for item, text in items:
