@@ -24,7 +24,6 @@ DIMENSIONS_LOG2 = 18
 SMOOTHING = 1.0
 PENALTY = 1.0
 EPOCHS = 12
-INTERPOLATION = 0.25
 #: Up to so many equal words in a row, each number an indicator of its own.
 REPEATS = 10
 
@@ -104,21 +103,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, log2: int = DIMENSIONS_LOG2) -> N
         return NaiveBayesSvm(np.zeros(1 << log2), -1.0 if len(y) and y[0] < 0 else 1.0)
     r = log_count_ratios(rows, y, 1 << log2)
     w, bias = dual_coordinate_descent(rows, y, r)
-    used = w[w != 0]
-    mean = np.abs(used).mean() if len(used) else 0.0
-    blended = ((1 - INTERPOLATION) * mean * np.sign(w) + INTERPOLATION * w) * r
-    blended, bias = w * r if mean == 0 else blended, bias
-    own = NaiveBayesSvm(blended, 0.0)
-    m = np.array([own.margins(x, np.array([0, len(x)]))[0] for x in rows])
-    own.bias = _best_bias(m, y)
-    size = np.abs(m + own.bias).mean() or 1.0
-    return NaiveBayesSvm(blended * (2 / size), own.bias * (2 / size))
-
-
-def _best_bias(m: np.ndarray, y: np.ndarray) -> float:
-    """The bias that balances the two classes' hinge losses: midway between their inner tails."""
-    low, high = np.quantile(m[y < 0], 0.99), np.quantile(m[y > 0], 0.01)
-    return -float(low + high) / 2
+    return NaiveBayesSvm(w * r, bias)
 
 
 def train(labelled: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> NaiveBayesSvm:
@@ -186,7 +171,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, model: NaiveBayesSvm) -> DataFrame:
-    """``docs`` without the rows that the model scores under 0.5; all columns stay, and no row moves."""
+    """``docs`` without the rows that the model scores under 0.5; all columns stay, and no row moves.
+
+    A null or empty text has the score of the bias alone, like all texts without indicators; repeated rows stay or go together.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def change(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
+from brute import languages
 
 from loamsift.llm import _common as C
 from loamsift.llm import language_id as L
@@ -13,6 +16,15 @@ def test_held_out_accuracy(spark):
     assert got.where("score < 0 OR score > 1").count() == 0
 
 
+def test_predictions_match_a_plain_version(spark, sf, sf_tables):
+    """Sets of n-grams in place of bit-sliced filters: the same languages, and scores but for what is left of false positives."""
+    rows = sf_tables("documents").collect()
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    want = dict(zip([r.doc_id for r in rows], languages([(r.text, r.lang) for r in rows if r.lang is not None and not held(r.doc_id)], [r.text for r in rows], L.RATE_SHARE, L.GRAMS_PER_LANGUAGE), strict=True))
+    for r in L.op7_language_id(spark, sf).collect():
+        assert r.lang_pred == want[r.doc_id][0] and abs(r.score - want[r.doc_id][1]) < 0.01 and r.held_out == held(r.doc_id)
+
+
 def grams(text):
     raw = np.frombuffer(text.encode(), np.uint8)
     return L.letter_grams(raw, np.array([0, len(raw)]))
