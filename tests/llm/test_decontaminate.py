@@ -36,19 +36,32 @@ def test_empty_tables(spark, docs_of):
     assert D.decontaminate(docs_of([]), none).count() == 0
 
 
+def shard(texts):
+    raw = np.frombuffer("".join(texts).encode(), np.uint8)
+    return D.SuffixArray(C.Words(raw, np.concatenate([[0], np.cumsum([len(t) for t in texts])])))
+
+
 def test_suffix_array_order_and_longest_matches():
     rng = np.random.default_rng(1)
     texts = [" ".join(rng.choice(["a", "b", "c"], 60)) for _ in range(5)]
-    raw = np.frombuffer("".join(texts).encode(), np.uint8)
-    offs = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-    words = C.Words(raw, offs)
-    array = D.SuffixArray(words, 16)
-    heads = [tuple(array.padded[i : i + 16]) for i in array.order]
-    assert heads == sorted(heads)
-    block = D.TestBlock.of([(1, "a b b c a q a b"), (2, texts[2])])
-    got = array.longest(array.symbols(block.hashes), block.known)
+    texts += [texts[0], "a " * 90, ""]
+    array = shard(texts)
+    heads = [tuple(array.text[i:]) for i in array.order]
+    assert heads == sorted(heads) and sorted(array.order) == list(range(array.n))
+    block = D.TestBlock.of([(1, "a b b c a q a b"), (2, texts[2]), (3, "a " * 50)])
+    at = np.flatnonzero(block.known)
+    got = array.longest(array.symbols(block), at, block.known[at])
     own = [t.split() for t in texts]
-    tests = [w[i:] for w in ("a b b c a q a b".split(), own[2]) for i in range(len(w))]
+    tests = [w[i:] for w in ("a b b c a q a b".split(), own[2], ["a"] * 50) for i in range(len(w))]
     for w, n in zip(tests, got, strict=True):
-        best = max((k for k in range(1, min(16, len(w)) + 1) if any(o[i : i + k] == w[:k] for o in own for i in range(len(o)))), default=0)
-        assert n == best
+        assert n == max((k for k in range(1, len(w) + 1) if any(o[i : i + k] == w[:k] for o in own for i in range(len(o)))), default=0)
+
+
+def test_longest_match_has_no_bound(spark, docs_of):
+    """A match of 300 words has its length and place, and the item it is from."""
+    rng = random.Random(3)
+    item = [f"w{rng.randrange(10_000)}" for _ in range(300)]
+    bench = spark.createDataFrame([(7, " ".join(item)), (8, " ".join(item[50:80]))], "item_id long, text string")
+    rows = [(1, " ".join(["x"] * 20 + item + ["y"] * 5)), (2, " ".join(item[40:90])), (3, "x y")]
+    got = {r.doc_id: r.longest for r in D.contamination(docs_of(rows), bench, block_bytes=100).collect()}
+    assert (got[1].words, got[1].at, got[1]["item"]) == (300, 20, "7") and (got[2].words, got[2].at, got[2]["item"]) == (50, 0, "7") and got[3] is None
