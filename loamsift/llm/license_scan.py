@@ -119,17 +119,25 @@ def diagonals(grams: DataFrame, known: list[Template]) -> DataFrame:
     return phrases.unionByName(merged.where(F.col("votes") >= MIN_VOTES).select("doc_id", "text_key", "template", "start", "stop"))
 
 
-def verify(words: C.Words, base: int, size: int, tpl: Template, start: int, stop: int) -> float:
-    """The part of the template's words found in order in the span, which is widened by what a template may lack on either side."""
+def verify(words: C.Words, base: int, size: int, tpl: Template, start: int, stop: int) -> tuple[float, int, int]:
+    """(the part of the template's words found in order in the span, the first word found, the word after the last). The span is widened by what a template may lack on either side.
+
+    A long span, which repetitive texts give, is compared piece by piece; pieces overlap by half, three templates' lengths, so a notice lies whole in one of them.
+    """
     if tpl.base:
         got = [words.text(base + i).decode("utf-8", "replace") for i in range(max(start, 0), min(start + len(tpl.words), size))]
-        return float(start >= 0 and got == list(tpl.words))
+        return float(start >= 0 and got == list(tpl.words)), start, start + len(tpl.words)
     room = len(tpl.words)
     low, high = max(0, start - room), min(size, max(stop, start) + room)
-    high = min(high, low + 6 * room)
-    span = [words.text(base + i).decode("utf-8", "replace") for i in range(low, high)]
-    match = difflib.SequenceMatcher(None, list(tpl.words), span, autojunk=False)
-    return sum(b.size for b in match.get_matching_blocks() if b.size >= 2) / room
+    best = (0.0, start, stop)
+    for at in range(low, max(low + 1, high - 3 * room), 3 * room):
+        piece = [words.text(base + i).decode("utf-8", "replace") for i in range(at, min(high, at + 6 * room))]
+        match = difflib.SequenceMatcher(None, list(tpl.words), piece, autojunk=False)
+        blocks = [b for b in match.get_matching_blocks() if b.size >= 2]
+        coverage = sum(b.size for b in blocks) / room
+        if coverage > best[0]:
+            best = (coverage, at + blocks[0].b, at + blocks[-1].b + blocks[-1].size)
+    return best
 
 
 def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
@@ -155,13 +163,13 @@ def scan(docs: DataFrame, known: list[Template] | None = None) -> DataFrame:
                 places, base_labels, labels, score, kept = set(), set(), set(), 0.0, []
                 for c in got or ():
                     tpl = known[c["template"]]
-                    coverage = verify(w, base, size, tpl, c["start"], c["stop"])
+                    coverage, start, stop = verify(w, base, size, tpl, c["start"], c["stop"])
                     score = max(score, coverage)
                     if tpl.base and coverage == 1:
                         places.add((c["start"], tpl.label, len(tpl.words)))
                     elif not tpl.base and coverage >= MIN_COVERAGE:
                         labels.add(tpl.label)
-                        kept.append({"label": tpl.label, "start": c["start"], "stop": c["stop"], "coverage": coverage})
+                        kept.append({"label": tpl.label, "start": start, "stop": stop, "coverage": coverage})
                 base_labels = {p[1] for p in places}
                 kept += [{"label": p[1], "start": p[0], "stop": p[0] + p[2], "coverage": 1.0} for p in sorted(places)]
                 starts = [p[0] for p in places]
