@@ -10,12 +10,12 @@ The radius is measured, not guessed: a few pilot queries are answered exactly ov
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -109,97 +109,93 @@ def top(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int) -> np.nda
     return order[rank < k]
 
 
-def search_chunk(ids: np.ndarray, x: np.ndarray, queries: np.ndarray, coder: Coder, radius: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, vec_id, score): the k nearest found of one chunk. Of equal vectors only those of the k smallest ids can be among them.
-
-    A query with fewer than k rows within the radius gets the radius widened, so a small table is answered in full.
-    """
-    _, same = np.unique(x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_inverse=True)
-    order = np.lexsort((ids, same))
-    rank = np.arange(len(order)) - np.searchsorted(same[order], same[order])
-    keep = order[rank < k]
-    ids, x = ids[keep], x[keep]
-    index = MultiIndex(coder.codes(x))
-    codes = coder.codes(queries, query=True)
-    open_, found, bits = np.arange(len(queries)), [], index.m * 8
-    want = min(k, len(ids))
-    while len(open_):
-        got = [(open_[q], r) for q, r, _ in index.within(codes[open_], radius)]
-        q = np.concatenate([a for a, _ in got]) if got else open_[:0]
-        r = np.concatenate([b for _, b in got]) if got else open_[:0]
-        full = np.bincount(q, minlength=len(queries)) >= want
-        ready = full[q]
-        q, r = q[ready], r[ready]
-        for a in range(0, len(q), 1 << 19):  # the rerank takes bounded memory
-            part = slice(a, a + (1 << 19))
-            found.append((q[part], ids[r[part]], (x[r[part]] * queries[q[part]]).sum(1)))
-        open_ = open_[~full[open_]]
-        radius = min(bits, radius + index.m)
-    if not found:
-        none = np.zeros(0, np.int64)
-        return none, none, np.zeros(0)
-    q, i, s = (np.concatenate(z) for z in zip(*found, strict=True))
-    best = top(q, i, s, k)
-    return q[best], i[best], s[best]
+class Chunk:
+    """A chunk of rows with its index. Of equal vectors only those of the k smallest ids can be among the k nearest, so the others aren't indexed."""
+
+    def __init__(self, ids: np.ndarray, x: np.ndarray, coder: Coder, k: int):
+        _, same = np.unique(x.view(np.dtype((np.void, x.dtype.itemsize * x.shape[1]))).ravel(), return_inverse=True)
+        order = np.lexsort((ids, same))
+        rank = np.arange(len(order)) - np.searchsorted(same[order], same[order])
+        keep = order[rank < k]
+        self.ids, self.x, self.coder, self.k = ids[keep], x[keep], coder, k
+        self.index = MultiIndex(coder.codes(self.x))
+
+    def search(self, queries: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, vec_id, score): the k nearest found. A query with fewer than k rows within the radius gets the radius widened, so a small table is answered in full."""
+        codes = self.coder.codes(queries, query=True)
+        open_, found, bits = np.arange(len(queries)), [], self.index.m * 8
+        want = min(self.k, len(self.ids))
+        while len(open_):
+            got = [(open_[q], r) for q, r, _ in self.index.within(codes[open_], radius)]
+            q = np.concatenate([a for a, _ in got]) if got else open_[:0]
+            r = np.concatenate([b for _, b in got]) if got else open_[:0]
+            full = np.bincount(q, minlength=len(queries)) >= want
+            ready = full[q]
+            q, r = q[ready], r[ready]
+            for a in range(0, len(q), 1 << 19):  # the rerank takes bounded memory
+                part = slice(a, a + (1 << 19))
+                found.append((q[part], self.ids[r[part]], (self.x[r[part]] * queries[q[part]]).sum(1)))
+            open_ = open_[~full[open_]]
+            radius = min(bits, radius + self.index.m)
+        if not found:
+            none = np.zeros(0, np.int64)
+            return none, none, np.zeros(0)
+        q, i, s = (np.concatenate(z) for z in zip(*found, strict=True))
+        best = top(q, i, s, self.k)
+        return q[best], i[best], s[best]
 
 
 def usable(rows: DataFrame) -> DataFrame:
-    """(vec_id, vec): vectors in double precision, without null, zero and non-finite ones and those of another width than the widest."""
+    """(vec_id, vec): vectors in double precision, without null, zero and non-finite ones."""
     vec = F.col("embedding").cast("array<double>")
     fine = F.forall(vec, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) != F.lit(float("inf")))) & F.exists(vec, lambda v: v != 0)
-    own = rows.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")).where("vec_id IS NOT NULL").where(F.coalesce(fine, F.lit(False)))
-    width = own.agg(F.max(F.size("vec"))).first()[0] or 0
-    return own.where(F.size("vec") == width)
+    own = rows.select(F.col("vec_id").cast("long").alias("vec_id"), vec.alias("vec")).where("vec_id IS NOT NULL")
+    return own.where(F.coalesce(fine, F.lit(False)))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.ascontiguousarray(column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1))
 
 
-def _against_all(vectors: DataFrame, queries: np.ndarray, k: int, answer) -> DataFrame:
-    """(query, vec_id, score): ``answer(ids, x, queries)`` of each chunk of rows."""
-    shared = vectors.sparkSession.sparkContext.broadcast(queries)
+def _against_all(vectors: DataFrame, k: int, answer: Callable[[np.ndarray, np.ndarray], Iterator[tuple]]) -> DataFrame:
+    """(query, rank, vec_id, score): the k best of what ``answer(ids, x)`` gives for each chunk of rows, as (query, vec_id, score) arrays."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def done() -> pa.RecordBatch:
+        def done() -> Iterator[pa.RecordBatch]:
             t = pa.Table.from_batches(held).combine_chunks()
-            vec = t.column("vec")
-            q, i, s = answer(t.column("vec_id").to_numpy(), _matrix(vec.chunk(0)), shared.value)
-            return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64())], names=["query", "vec_id", "score"])
+            for q, i, s in answer(t.column("vec_id").to_numpy(), _matrix(t.column("vec").chunk(0))):
+                yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64())], names=["query", "vec_id", "score"])
 
         for batch in batches:
             for a in range(0, batch.num_rows, CHUNK_ROWS):
                 held.append(batch.slice(a, CHUNK_ROWS))
                 if sum(b.num_rows for b in held) >= CHUNK_ROWS:
-                    yield done()
+                    yield from done()
                     held.clear()
         if held:
-            yield done()
+            yield from done()
 
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     return vectors.mapInArrow(run, "query long, vec_id long, score double").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
 
 
-def exact_chunk(k: int):
-    def answer(ids: np.ndarray, x: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        out = []
+def exact(queries: np.ndarray, k: int) -> Callable[[np.ndarray, np.ndarray], Iterator[tuple]]:
+    """Answers by all inner products, for a few queries."""
+
+    def answer(ids: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
         for j, v in enumerate(queries):
             s = (x * v).sum(1)
             best = np.lexsort((ids, -s))[:k]
-            out.append((np.full(len(best), j), ids[best], s[best]))
-        q, i, s = (np.concatenate(z) for z in zip(*out, strict=True))
-        return q, i, s
+            yield np.full(len(best), j), ids[best], s[best]
 
     return answer
 
 
-def fit(vectors: DataFrame, k: int = NEIGHBOURS) -> tuple[Coder, int] | None:
-    """Rotations and radius; None without vectors. The sample and the pilots are the rows of the smallest hashes, so the same at every run."""
+def fit(vectors: DataFrame, k: int = NEIGHBOURS) -> tuple[Coder, int]:
+    """Rotations and radius for vectors of one width, of which there is one at least. The sample and the pilots are the rows of the smallest hashes, so the same at every run."""
     n, scale = vectors.agg(F.count("*"), F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, v: a + v * v)))).first()
-    if not n:
-        return None
     order = F.xxhash64("vec_id")
     share = min(1.0, 2.0 * SAMPLE_ROWS / n)
     drawn = vectors.where(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20)).orderBy(order, "vec_id").limit(SAMPLE_ROWS)
@@ -209,47 +205,78 @@ def fit(vectors: DataFrame, k: int = NEIGHBOURS) -> tuple[Coder, int] | None:
     coder = Coder(np.zeros(0), float(scale))
     coder.rotations = learn_rotations(coder.extended(sample))
     pilots = sample[:PILOT_QUERIES]
-    near = _against_all(vectors, pilots, k + 1, exact_chunk(k + 1)).join(vectors, "vec_id").select("query", "vec").collect()
+    near = _against_all(vectors, k + 1, exact(pilots, k + 1)).join(vectors, "vec_id").select("query", "vec").collect()
     a = coder.codes(pilots, query=True)[[r[0] for r in near]]
     b = coder.codes(np.array([r[1] for r in near], np.float64))
     apart = np.bitwise_count(a ^ b).sum(1)
     return coder, int(np.ceil(np.quantile(apart, TARGET)))
 
 
+@dataclass
+class QueryBlock:
+    """ids of queries; their distinct vectors; which of these each has."""
+
+    ids: np.ndarray
+    distinct: np.ndarray
+    which: np.ndarray
+
+
+def _query_blocks(asked: DataFrame, block: int) -> list[Broadcast]:
+    """The queries in blocks of about ``block``, chosen by a hash; the driver holds one at a time and the broadcasts are in files."""
+    blocks = max(1, -(-asked.count() // block))
+    out = []
+    for b in range(blocks):
+        got = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).groupBy("vec_id").agg(F.min("vec").alias("vec")).collect()
+        if got:
+            distinct, which = np.unique(np.array([r[1] for r in got], np.float64), axis=0, return_inverse=True)
+            out.append(asked.sparkSession.sparkContext.broadcast(QueryBlock(np.array([r[0] for r in got], np.int64), distinct, which.ravel())))
+    return out
+
+
+def _near(shared: list[Broadcast], coder: Coder, radius: int, k: int) -> Callable[[np.ndarray, np.ndarray], Iterator[tuple]]:
+    """Answers through the index of a chunk, which is built once for all blocks of queries."""
+
+    def answer(ids: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
+        chunk = Chunk(ids, x, coder, k + 1)
+        for b in shared:
+            own = b.value
+            q, i, s = chunk.search(own.distinct, radius)
+            order = np.argsort(q, kind="stable")
+            low, high = (np.searchsorted(q[order], own.which, side) for side in ("left", "right"))
+            n = high - low
+            at = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)]
+            query = np.repeat(own.ids, n)
+            other = i[at] != query
+            yield query[other], i[at][other], s[at][other]
+            if len(shared) > 1:  # a worker holds one block at a time
+                b.__dict__.pop("_value", None)
+
+    return answer
+
+
 def search(rows: DataFrame, k: int = NEIGHBOURS, every: int = EVERY, block: int = QUERY_BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score): queries are rows whose vec_id is divisible by ``every``, candidates all rows but the query's own.
 
-    Null, zero and non-finite vectors and rows without vec_id take no part. Ties go to the smaller vec_id. Queries go out in blocks of about ``block``, chosen by
-    a hash, and each block's distinct vectors are searched once. A repeated vec_id is a row of its own as a candidate; as a query its first vector counts, and no row of that id answers it.
+    Null, zero and non-finite vectors and rows without vec_id take no part. Vectors of different widths have no inner product, so each width is searched by itself, and
+    a width with few rows is answered in full. Ties go to the smaller vec_id. Queries go out in blocks of about ``block`` and meet every chunk of rows in one pass. A repeated vec_id is
+    a row of its own as a candidate; as a query its first vector (of a width) counts, and no row of that id answers it.
     """
     spark = rows.sparkSession
     C.bound_batches(spark)
     vectors = usable(rows)
-    empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    fitted = fit(vectors, k)
-    if fitted is None:
-        return empty
-    coder, radius = fitted
-    asked = vectors.where(F.col("vec_id") % every == 0)
-    n = vectors.count()
-    vectors = vectors.repartition(max(1, -(-n // CHUNK_ROWS)))
-    blocks = max(1, -(-asked.count() // block))
-    out = empty
-    for b in range(blocks):
-        got = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).groupBy("vec_id").agg(F.min("vec").alias("vec")).collect()
-        if not got:
-            continue
-        x = np.array([r[1] for r in got], np.float64)
-        distinct, which = np.unique(x, axis=0, return_inverse=True)
-        who = spark.createDataFrame(pd.DataFrame({"query": which.ravel().astype(np.int64), "query_id": [r[0] for r in got]}), "query long, query_id long")
-        found = _against_all(vectors, distinct, k + 1, lambda ids, y, q: search_chunk(ids, y, q, coder, radius, k + 1))
-        # At most ``block`` query ids.
-        mine = found.join(F.broadcast(who), "query").where("vec_id <> query_id")
-        ranked = mine.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))).where(F.col("rank") <= k)
-        part = ranked.select("query_id", "rank", "vec_id", "score")
-        out = part if blocks == 1 else out.unionByName(part)
+    out = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    for (width,) in sorted(vectors.select(F.size("vec")).distinct().collect()):
+        found = _search(vectors.where(F.size("vec") == width), k, every, block)
+        out = found if out.isEmpty() else out.unionByName(found)
     return out
 
 
+def _search(vectors: DataFrame, k: int, every: int, block: int) -> DataFrame:
+    coder, radius = fit(vectors, k)
+    shared = _query_blocks(vectors.where(F.col("vec_id") % every == 0), block)
+    dealt = vectors.repartition(max(1, -(-vectors.count() // CHUNK_ROWS)))
+    return _against_all(dealt, k, _near(shared, coder, radius, k)).select(F.col("query").alias("query_id"), "rank", "vec_id", "score")
+
+
 def op6_hamming_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(C.table(spark, sf_dir, "embeddings"))

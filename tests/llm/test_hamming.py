@@ -66,6 +66,31 @@ def test_odd_vectors_take_no_part(spark):
     assert H.search(df.where("vec_id in (0, 7, 20)"), block=1).count() == 4
 
 
+def test_each_width_is_searched(spark):
+    """One stray wider vector takes nothing from the others; a second one of its width answers it."""
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(41, 2))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(60, [1.0, 2.0, 3.0])]
+    got = H.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert got.count() == 60 and got.where("query_id = 60").count() == 0
+    got = H.search(spark.createDataFrame([*rows, (61, [1.0, 0.0, 0.0])], "vec_id long, embedding array<double>"))
+    assert got.count() == 61 and [tuple(r) for r in got.where("query_id = 60").collect()] == [(60, 1, 61, 1.0)]
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_blocks_of_queries_meet_all_rows(spark, block):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(200, 5))
+    x[40] = x[20]
+    ids, got = list(range(200)), {}
+    for r in H.search(frame(spark, ids, x), k=4, every=20, block=block).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id))
+    x = x.astype(np.float32).astype(np.float64)
+    want = exact(ids, x, 4)
+    hits = sum(len({v for _, v in got[q]} & {v for v, _ in rows}) for q, rows in want.items())
+    assert set(got) == set(want) and all([r for r, _ in sorted(v)] == [1, 2, 3, 4] for v in got.values()) and hits >= 0.9 * 40
+
+
 def test_probing_finds_every_code_within_the_radius():
     rng = np.random.default_rng(2)
     codes, queries = rng.integers(0, 256, (300, 4), dtype=np.uint8), rng.integers(0, 256, (20, 4), dtype=np.uint8)
