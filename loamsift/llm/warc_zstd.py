@@ -185,26 +185,50 @@ def _page_of(urn: str | None) -> int | None:
 RECORD_SCHEMA = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long, payload binary"
 
 
-def read_archives(spark: SparkSession, paths: DataFrame | str, keep_payload: bool = True) -> DataFrame:
-    """Records of all archives in a folder: decoded frame by frame, heads, lengths and digests checked."""
+def _records(archives: Iterator[bytes], keep_payload: bool) -> Iterator[pd.DataFrame]:
+    for data in archives:
+        out: list[tuple] = []
+        size = 0
+        for record in read_archive(data):
+            row = _row(*parse_record(record), keep_payload)
+            out.append(row)
+            size += len(row[-1] or b"") + 200
+            if size > C.SLICE_BYTES:
+                yield _frame(out)
+                out, size = [], 0
+        yield _frame(out)
+
+
+def read_archives(spark: SparkSession, paths: list[str] | str, keep_payload: bool = True) -> DataFrame:
+    """Records of all archives in a folder of any store: decoded frame by frame, heads, lengths and digests checked."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for df in frames:
-            for data in df["content"]:
-                out: list[tuple] = []
-                size = 0
-                for record in read_archive(data):
-                    row = _row(*parse_record(record), keep_payload)
-                    out.append(row)
-                    size += len(row[-1] or b"") + 200
-                    if size > C.SLICE_BYTES:
-                        yield _frame(out)
-                        out, size = [], 0
-                yield _frame(out)
+        yield from _records((data for df in frames for data in df["content"]), keep_payload)
 
     return spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(paths).select("content").mapInPandas(run, RECORD_SCHEMA)
 
 
+def read_written(written: DataFrame, keep_payload: bool = True) -> DataFrame:
+    """Records of the archives that ``write_archives`` returned (``written``, a written table), as in read_archives. Their paths stay in the table: the driver holds none."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for df in frames:
+            for path in df["path"]:
+                fs, own = pafs.FileSystem.from_uri(path)
+                with fs.open_input_file(own) as f:
+                    yield from _records(iter([f.read()]), keep_payload)
+
+    return written.select("path").repartition(C.rows_per_partition(written, 1, 1 << 14)).mapInPandas(run, RECORD_SCHEMA)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir with its scheme: that of the default file system where the setting names none."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(C.scratch_dir(spark))
+    uri = path.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    return uri if "://" in uri else uri.replace(":", "://", 1)
+
+
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     cols = ["page_id", "url", "record_type", "payload_bytes", "payload_digest", "refers_to", "payload"]
     df = pd.DataFrame(rows, columns=cols)
@@ -238,12 +262,9 @@ def mark_revisits(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
 
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = C.scratch_dir(spark)
-    folder = folder if "://" in folder else "file://" + folder.removeprefix("file:")
     records = mark_revisits(C.table(spark, sf_dir, "pages"))
-    written = C.materialize(write_archives(records, folder))
-    found = read_archives(spark, [p for (p,) in written.select("path").toLocalIterator()] or folder, keep_payload=False) if not written.isEmpty() else spark.createDataFrame([], RECORD_SCHEMA)
-    return found.drop("payload", "url")
+    written = C.materialize(write_archives(records, shared_folder(spark)))
+    return read_written(written, keep_payload=False).drop("payload", "url")
 
 
 ORACLE = """
