@@ -119,27 +119,35 @@ def pack(pieces: DataFrame, length: int = SEQUENCE_TOKENS, segments: int = MAX_S
     capacity = np.array([length, segments, loss_tokens or length], np.int64)
     groups = C.rows_per_partition(pieces, group)
 
+    def place(g: int, df: pd.DataFrame) -> pd.DataFrame:
+        df = df.sort_values(["doc_id", "start", "ids_crc32", "length"], na_position="first").reset_index(drop=True)
+        demand = np.stack([df["length"], np.ones(len(df), np.int64), df["_loss"]], 1).astype(np.int64)
+        bins, rank = dot_product_bins(demand, capacity)
+        placed = np.lexsort((rank, bins))
+        lengths = df["length"].to_numpy()[placed]
+        run_total = np.cumsum(lengths) - lengths
+        first = np.searchsorted(bins[placed], np.arange(bins.max() + 1))
+        offset = np.empty(len(df), np.int64)
+        offset[placed] = run_total - run_total[first][bins[placed]]
+        df["sequence_id"], df["offset"] = bins * groups + g, offset
+        return df.drop(columns=["_group", "_loss"])
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        got = [f for f in frames if len(f)]
-        if not got:
-            return
-        all_rows = pd.concat(got)
-        for g, df in all_rows.groupby("_group"):
-            df = df.sort_values(["doc_id", "start", "ids_crc32", "length"], na_position="first").reset_index(drop=True)
-            demand = np.stack([df["length"], np.ones(len(df), np.int64), df["_loss"]], 1).astype(np.int64)
-            bins, rank = dot_product_bins(demand, capacity)
-            placed = np.lexsort((rank, bins))
-            lengths = df["length"].to_numpy()[placed]
-            run_total = np.cumsum(lengths) - lengths
-            first = np.searchsorted(bins[placed], np.arange(bins.max() + 1))
-            offset = np.empty(len(df), np.int64)
-            offset[placed] = run_total - run_total[first][bins[placed]]
-            df["sequence_id"], df["offset"] = bins * groups + g, offset
-            yield df.drop(columns=["_group", "_loss"])
+        """Rows come group by group; one group is held at a time."""
+        now, held = None, []
+        for frame in frames:
+            for g, df in frame.groupby("_group"):
+                if g != now and held:
+                    yield place(now, pd.concat(held))
+                    held = []
+                now = g
+                held.append(df)
+        if held:
+            yield place(now, pd.concat(held))
 
     schema = pieces.select("*").schema.add("sequence_id", "long").add("offset", "long")
     dealt = pieces.select("*", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(groups)).alias("_group"), F.coalesce(F.col(loss), F.lit(0)).cast("long").alias("_loss"))
-    return dealt.repartition(groups, "_group").mapInPandas(run, schema)
+    return dealt.repartition(groups, "_group").sortWithinPartitions("_group").mapInPandas(run, schema)
 
 
 def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, length: int = SEQUENCE_TOKENS) -> DataFrame:

@@ -62,6 +62,27 @@ def test_groups_and_limits(docs_of):
     assert max(sizes.values()) <= 3
 
 
+def test_conversations_under_all_three_limits(spark, sf):
+    """Tokens, segments and loss-bearing tokens (those of the assistant's turns) of real conversations; each limit binds somewhere."""
+    from pyspark.sql import functions as F
+
+    from loamsift.llm import _common as C
+
+    size = F.udf(lambda t: len(P._encoder(*PATHS)(t or "")), "long")
+    turns = spark.read.parquet(f"{sf}/conversations.parquet").withColumn("n", size("text"))
+    own = turns.groupBy("conv_id").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("role") == "assistant", F.col("n")).otherwise(0)).alias("loss_tokens"))
+    own = own.select(F.col("conv_id").alias("doc_id"), F.lit(0).cast("long").alias("start"), (F.col("n") + 1).alias("length"), F.col("conv_id").alias("ids_crc32"), (F.col("n") + 1).alias("doc_tokens"), "loss_tokens")
+    pieces = C.materialize(own)
+    most = pieces.agg(F.max("length"), F.max("loss_tokens")).first()
+    limits = (2 * most[0], 4, most[1] + 20)
+    got = P.pack(pieces, limits[0], segments=limits[1], loss_tokens=limits[2], loss="loss_tokens", group=30)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in pieces.collect())
+    used = got.groupBy("sequence_id").agg(F.sum("length").alias("t"), F.count("*").alias("s"), F.sum("loss_tokens").alias("l")).collect()
+    assert all(r.t <= limits[0] and r.s <= limits[1] and r.l <= limits[2] for r in used)
+    free = P.pack(pieces, limits[0], segments=limits[1], group=30).select("sequence_id").distinct().count()
+    assert len(used) > free and any(r.s == limits[1] for r in used) and max(r.l for r in used) > limits[2] - 20
+
+
 def test_dot_product_heuristic_respects_every_dimension():
     rng = np.random.default_rng(0)
     demand = np.stack([rng.integers(1, 100, 500), np.ones(500, int), rng.integers(0, 60, 500)], 1)
