@@ -36,6 +36,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """``names``, lengthened until they clash with no column of ``docs``, whatever its letters' case."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def keyed_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only (key, text), null text as the empty string: other columns, whatever their names, take no part."""
     bound_batches(docs.sparkSession)

@@ -506,8 +506,9 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, hot: i
     got = linked(docs, percent, words, hot, block_documents, bits_documents)
     stays = (F.col("doc_id") == F.col("component_id")) & (F.col("text_key") == F.col("first_key"))
     leave = got.rows.where("doc_id IS NOT NULL").join(got.classes, ["s1", "s2", "n"]).where(~stays)
-    extra = C.materialize(leave.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t")).distinct())
-    same = (docs["doc_id"].cast("long") == F.col("__d")) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col("__t"))
+    own_id, own_key = C.fresh(docs, "__d", "__t")
+    extra = C.materialize(leave.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).distinct())
+    same = (docs["doc_id"].cast("long") == F.col(own_id)) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == F.col(own_key))
     return docs.join(F.broadcast(extra) if C.is_small(extra, BROADCAST_ROWS) else extra, same, "left_anti")
 
 

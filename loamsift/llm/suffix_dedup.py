@@ -455,19 +455,20 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, passage: int = PASSAGE_BY
     """
     own = C.keyed_rows(docs).withColumn("text_key", F.xxhash64("text"))
     spans = repeated_spans(own, passage)
-    keyed = spans.select(F.col("doc_id").alias("__d"), F.col("text_key").alias("__t"), F.col("spans").alias("__spans"))
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__d")) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col("__t"))
-    joined = docs.join(keyed, same, "left").drop("__d", "__t")
+    own_id, own_key, own_spans = C.fresh(docs, "__d", "__t", "__spans")
+    keyed = spans.select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key), F.col("spans").alias(own_spans))
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(own_id)) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(own_key))
+    joined = docs.join(keyed, same, "left").drop(own_id, own_key)
     names = docs.columns
 
     def change(batch: pa.RecordBatch, raw: np.ndarray, offs: np.ndarray) -> pa.RecordBatch:
         data, texts = raw.tobytes(), batch.column("text").to_pylist()
-        for r, found in enumerate(batch.column("__spans").to_pylist()):
+        for r, found in enumerate(batch.column(own_spans).to_pylist()):
             if found:
                 own = data[offs[r] : offs[r + 1]]
                 gone = [(a, z) for a, z in found if z - a >= length or len(own[a:z].split()) >= words]
                 texts[r] = _without(own, gone).decode("utf-8", "ignore") if gone else texts[r]
-        cols = {c: batch.column(c) for c in [*names, "__spans"]}
+        cols = {c: batch.column(c) for c in [*names, own_spans]}
         cols["text"] = pa.array(texts, batch.schema.field("text").type)
         if "n_chars" in cols:
             cols["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.schema.field("n_chars").type)
