@@ -57,41 +57,71 @@ def shingled(docs: DataFrame, s: Settings, key: str = "doc_id", column: str = "t
     return cut.select("id", text.word_ngrams(F.col("w"), s.ngrams).alias("shingles"))
 
 
+#: Bytes of normalised text whose signatures are computed together.
+SLICE_BYTES = 1 << 19
+
+
+def _shingle_numbers(normal: str, n: int) -> np.ndarray:
+    """Sorted distinct numbers of the word n-grams of a normalised text: each is a stretch of its bytes, from a word's start to the end of the n-th from there."""
+    raw = normal.encode()
+    blanks = np.flatnonzero(np.frombuffer(raw, np.uint8) == 32)
+    start, end = np.concatenate([[0], blanks + 1]), np.append(blanks, len(raw))
+    if not raw:
+        return np.zeros(0, np.uint64)
+    last = max(len(start) - n + 1, 1)
+    own = {raw[i:j] for i, j in zip(start[:last].tolist(), end[min(n, len(end)) - 1 :].tolist(), strict=True)}
+    return np.sort(np.frombuffer(b"".join([sha1(g).digest()[:8] for g in own]), "<u8"))
+
+
 def signed(docs: DataFrame, s: Settings, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(id, numbers, signature): the shingles as sorted 64-bit numbers, and their MinHash values, in one pass of Python.
+    """(id, numbers, s1, s2, signature): the shingles as sorted 64-bit numbers, two sums that name their set, and their MinHash values, in one pass of Python.
 
     Numbers stand for the shingles from here on: two shingles of one pair of documents share one with a chance of about 2^-64.
     """
-    spark = docs.sparkSession
-    family = np.array(minhash.hash_family(s.num_hashes), np.uint64)
-    shared = spark.sparkContext.broadcast((np.ascontiguousarray(family[:, 0]), np.ascontiguousarray(family[:, 1])))
+    family = minhash.hash_family(s.num_hashes)
     n = s.ngrams
 
+    def batch_of(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        first = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+        flat = np.concatenate(sets)
+        values = minhash.signature_rows(flat, first, family)
+        sums = []
+        for odd in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):
+            mixed = (flat ^ (flat >> np.uint64(31))) * odd
+            mixed = (mixed ^ (mixed >> np.uint64(29))) * odd
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed ^ (mixed >> np.uint64(32)))])
+            sums.append(pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)))
+        lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat.view(np.int64)))
+        fixed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * len(family), pa.int32()), pa.array(np.ascontiguousarray(values).view(np.int64).ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists, *sums, fixed], names=["id", "numbers", "s1", "s2", "signature"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = shared.value
         for batch in batches:
-            sets, values = [], []
-            for t in batch.column("t").to_pylist():
-                w = text.normalize_text(t).split()
-                own = {" ".join(w[i : i + n]) for i in range(len(w) - n + 1)} if len(w) >= n else ({" ".join(w)} if w else set())
-                x = np.frombuffer(b"".join([sha1(g.encode()).digest()[:8] for g in own]), "<u8")
-                sets.append(np.sort(x).view(np.int64))
-                values.append(minhash.signature(x, a, b).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sets, pa.list_(pa.int64())), pa.array(values, pa.list_(pa.int64()))], names=["id", "numbers", "signature"])
+            ids, sets, size = [], [], 0
+            for i, t in zip(batch.column("id").to_pylist(), batch.column("t"), strict=True):
+                normal = text.normalize_text(t.as_py())
+                ids.append(i)
+                sets.append(_shingle_numbers(normal, n))
+                size += len(normal)
+                if size > SLICE_BYTES:
+                    yield batch_of(ids, sets)
+                    ids, sets, size = [], [], 0
+            if ids:
+                yield batch_of(ids, sets)
 
-    return _body(docs, s, key, column).mapInArrow(run, "id long, numbers array<long>, signature array<long>")
+    return _body(docs, s, key, column).mapInArrow(run, "id long, numbers array<long>, s1 long, s2 long, signature array<long>")
 
 
 def classes(sets: DataFrame) -> DataFrame:
-    """(id, rep): rep is the smallest id with an equal set."""
-    named = sets.select("id", F.sha2(F.array_join("numbers", ","), 256).alias("_set"))
-    return named.join(named.groupBy("_set").agg(F.min("id").alias("rep")), "_set").select("id", "rep")
+    """(id, rep): rep is the smallest id with an equal set, which two sums and its size name."""
+    named = sets.select("id", "s1", "s2", F.size("numbers").alias("_n"))
+    return named.join(named.groupBy("s1", "s2", "_n").agg(F.min("id").alias("rep")), ["s1", "s2", "_n"]).select("id", "rep")
 
 
 def band_keys(signed: DataFrame, s: Settings) -> DataFrame:
-    """(id, band, key) for each band of a signature."""
-    bands = F.array(*[F.slice("signature", b * s.rows + 1, s.rows) for b in range(s.num_bands)])
-    return signed.select("id", F.posexplode(bands).alias("band", "_values")).select("id", "band", F.md5(F.array_join("_values", ",")).alias("key"))
+    """(id, band, key) for each band of a signature; key is a 64-bit hash of its values, and pairs are verified whatever brought them together."""
+    keys = F.array(*[F.xxhash64(F.slice("signature", b * s.rows + 1, s.rows)) for b in range(s.num_bands)])
+    return signed.select("id", F.posexplode(keys).alias("band", "key"))
 
 
 def buckets(keys: DataFrame) -> DataFrame:
@@ -165,7 +195,7 @@ def links(large: DataFrame, edges: DataFrame, sets: DataFrame, threshold: float)
 
 @dataclass
 class NearDuplicates:
-    """``membership``: (id, rep, component); ``pairs``: all verified pairs of class representatives; ``keys``: their buckets.
+    """``membership``: (id, rep, component); ``candidates`` and ``pairs``: all candidate and all verified pairs of class representatives; ``keys``: their buckets.
 
     ``pairs`` and ``counts`` list pairs, the square of a bucket's classes; ``membership`` and ``keep`` don't.
     """
@@ -173,6 +203,7 @@ class NearDuplicates:
     membership: DataFrame
     pairs: DataFrame
     keys: DataFrame
+    candidates: DataFrame
     settings: Settings
 
     def keep(self) -> DataFrame:
@@ -183,7 +214,7 @@ class NearDuplicates:
         return buckets(self.keys).where(F.col("size") > s.max_bucket) if s.max_bucket else buckets(self.keys).where("false")
 
     def counts(self) -> DataFrame:
-        found = candidates(self.keys, self.settings).agg(F.count("*").alias("candidate_pairs"), F.coalesce(F.sum("bands"), F.lit(0)).alias("candidate_pairs_by_band"))
+        found = self.candidates.agg(F.count("*").alias("candidate_pairs"), F.coalesce(F.sum("bands"), F.lit(0)).alias("candidate_pairs_by_band"))
         kept = self.membership.agg(F.count("*").alias("documents"), F.count_if(F.col("id") != F.col("component")).alias("removed"))
         return _side_by_side(kept, found, self.pairs.agg(F.count("*").alias("verified_pairs")))
 
@@ -201,15 +232,17 @@ def find(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", column:
     member = materialize(classes(sets))
     chosen = sets.join(member.where("id = rep").select("id"), "id", "left_semi")
     keys = materialize(band_keys(chosen.select("id", "signature"), s))
-    pairs = materialize(verified(candidates(keys, s, s.star_from), sets, s.threshold))
+    met = materialize(candidates(keys, s, s.star_from))
+    pairs = materialize(verified(met, sets, s.threshold))
     edges = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
     large = materialize(_in_buckets(keys, s, s.star_from + 1))
     if not large.isEmpty():
         edges = links(large, edges, sets, s.threshold)
-        pairs = verified(candidates(keys, s), sets, s.threshold)
+        met = candidates(keys, s)
+        pairs = verified(met, sets, s.threshold)
     labels = components(edges)
     joined = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    return NearDuplicates(joined.select("id", "rep", F.coalesce("component", "rep").alias("component")), pairs, keys, s)
+    return NearDuplicates(joined.select("id", "rep", F.coalesce("component", "rep").alias("component")), pairs, keys, met, s)
 
 
 def drop_near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", column: str = "text") -> DataFrame:

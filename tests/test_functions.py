@@ -122,21 +122,26 @@ def test_ngrams(spark, own, want):
     assert spark.createDataFrame([(own,)], "w array<string>").select(text.word_ngrams(F.col("w"), 2)).first()[0] == want
 
 
-@given(st.lists(st.integers(0, 2**64 - 1), max_size=40), st.integers(1, 40))
+def signature_of(sets, family):
+    first = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
+    return minhash.signature_rows(np.array([x for own in sets for x in own], np.uint64), first, family).tolist()
+
+
+@given(st.lists(st.lists(st.integers(0, 2**64 - 1), max_size=40), max_size=6), st.integers(1, 40))
 @settings(max_examples=60, deadline=None)
-def test_signature_is_its_definition(numbers, size):
+def test_signature_is_its_definition(sets, size):
     family = minhash.hash_family(size)
-    a, b = (np.array([f[i] for f in family], np.uint64) for i in (0, 1))
-    assert minhash.signature(np.array(numbers, np.uint64), a, b).tolist() == minhash.scalar_signature(numbers, family)
+    assert signature_of(sets, family) == [minhash.scalar_signature(own, family) for own in sets]
 
 
 def test_signature_edges():
+    """Extreme numbers, extreme hash functions, empty sets between others, and sets that cross from one block of numbers to the next."""
     rng = random.Random(0)
-    family = minhash.hash_family(256)
-    a, b = (np.array([f[i] for f in family], np.uint64) for i in (0, 1))
-    cases = [[], [0], [2**64 - 1], [2**61 - 1], [2**61 - 2, 2**61, 2**63, 1]] + [[rng.getrandbits(64) for _ in range(rng.randint(1, 3000))] for _ in range(5)]
-    for numbers in cases:
-        assert minhash.signature(np.array(numbers, np.uint64), a, b).tolist() == minhash.scalar_signature(numbers, family)
+    family = [*minhash.hash_family(60), (1, 0), (minhash.PRIME - 1, minhash.PRIME - 1), (1, minhash.PRIME - 1), (1 << 31, 1), ((1 << 31) - 1, 0)]
+    cases = [[], [0], [2**64 - 1], [2**61 - 1], [], [2**61 - 2, 2**61, 2**63, 1]] + [[rng.getrandbits(64) for _ in range(rng.randint(1, 3000))] for _ in range(5)]
+    assert signature_of(cases, family) == [minhash.scalar_signature(own, family) for own in cases]
+    long_ = [[5], [rng.getrandbits(64) for _ in range(minhash.AT_ONCE + 10)], [], [7, 8]]
+    assert signature_of(long_, family[:3]) == [minhash.scalar_signature(own, family[:3]) for own in long_]
 
 
 def plain_metrics(t):
