@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import pickle
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -20,6 +21,7 @@ from loamsift.functions import patterns as P
 from loamsift.functions.text import collapse
 from loamsift.operators.sampling import balanced
 
+_RUNS = re.compile("[a-z]+")
 DIMENSIONS = 1 << 16
 PER_LABEL = 800
 LANGUAGE_THRESHOLD = 0.5
@@ -58,6 +60,26 @@ class Model:
             return Model(*pickle.load(f))
 
 
+@dataclass
+class Lexicon:
+    """A scorer by listed words: a label's probability is one more than the occurrences of its words (runs of a-z, lower case), over the sum of all labels'."""
+
+    labels: list[str]
+    words: dict[str, list[str]]
+
+    def probabilities(self, texts: list[str]) -> np.ndarray:
+        owners: dict[str, list[int]] = {}
+        for i, label in enumerate(self.labels):
+            for w in self.words[label]:
+                owners.setdefault(w, []).append(i)
+        out = np.ones((len(texts), len(self.labels)))
+        for i, t in enumerate(texts):
+            for w in _RUNS.findall(t.lower()):
+                for k in owners.get(w, ()):
+                    out[i, k] += 1
+        return out / out.sum(1, keepdims=True)
+
+
 def fit(texts: list[str], labels: list[str]) -> Model:
     names = sorted(set(labels))
     counts = np.full((max(1, len(names)), DIMENSIONS), 0.5)
@@ -138,6 +160,48 @@ def classify_content(spark: SparkSession, model: Model, text: Column, kind: str,
     return scored(spark, model, one_line(text, max_chars), (f"non-{kind}", 0.0), lambda x: kind if x.lower() in yes else f"non-{kind}")
 
 
+def is_quality_acceptable(found: Column, threshold: float = 0.5) -> Column:
+    """Positive with a score of at least ``threshold``."""
+    return (found["label"] == "positive") & (found["score"] >= threshold)
+
+
+def filter_by_quality(docs: DataFrame, model: Model, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """Documents whose quality is acceptable; all columns stay."""
+    own = docs.withColumn("_quality", classify_quality(docs.sparkSession, model, F.col(text)))
+    return own.where(is_quality_acceptable(F.col("_quality"), threshold)).drop("_quality")
+
+
+def all_probabilities(spark: SparkSession, model: Model, text: Column, blank: dict[str, float]) -> Column:
+    """map(label, probability) of the whole text; ``blank`` for a null or blank text."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.pandas_udf("array<double>")
+    def run(texts: pd.Series) -> pd.Series:
+        given = np.flatnonzero(texts.notna().to_numpy())
+        out = np.full(len(texts), None, object)
+        if len(given):
+            for i, p in zip(given, shared.value.probabilities(texts.iloc[given].tolist()), strict=True):
+                out[i] = p
+        return pd.Series(out)
+
+    flat = collapse(text)
+    given = F.when(F.coalesce(flat, F.lit("")) != "", flat)
+    none = F.create_map(*[F.lit(x) for kv in blank.items() for x in kv])
+    return F.when(given.isNull(), none).otherwise(F.map_from_arrays(F.array(*map(F.lit, model.labels)), run.asNondeterministic()(given)))
+
+
+def dolma_labels(probabilities: Column) -> Column:
+    """struct(label, score) of map(hq, lq): High or Low, whichever is likelier (High of equals); High is wiki, Low is cc."""
+    high, low = probabilities["hq"], probabilities["lq"]
+    return F.when(high >= low, F.struct(F.lit("High").alias("label"), high.alias("score"), F.lit("wiki").alias("category"))).otherwise(F.struct(F.lit("Low").alias("label"), low.alias("score"), F.lit("cc").alias("category")))
+
+
+def combined_content(nsfw: Column, toxic: Column) -> Column:
+    """struct(nsfw_label, nsfw_score, toxic_label, toxic_score, removed_by): both are computed, and a text that is both counts as nsfw only."""
+    by = F.when(nsfw["label"] == "nsfw", "nsfw").when(toxic["label"] == "toxic", "toxic")
+    return F.struct(nsfw["label"].alias("nsfw_label"), nsfw["score"].alias("nsfw_score"), toxic["label"].alias("toxic_label"), toxic["score"].alias("toxic_score"), by.alias("removed_by"))
+
+
 def model_from_environment(variable: str, default: Model | None = None) -> Model | None:
     """The model at the path that an environment variable names."""
     path = os.environ.get(variable)

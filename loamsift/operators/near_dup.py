@@ -8,13 +8,14 @@ stars, and what those leave apart is compared in full, so the result is that of
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha1
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamsift.functions import minhash, text
@@ -245,6 +246,39 @@ def find(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", column:
     return NearDuplicates(joined.select("id", "rep", F.coalesce("component", "rep").alias("component")), pairs, keys, met, s)
 
 
+def files_report(docs: DataFrame, s: Settings = Settings(), file: str = "_file", key: str = "doc_id", column: str = "text") -> DataFrame:
+    """(file, rows, kept) of each input file: what a job over a folder reports and, with ``count_only``, all that it does; see folder_job."""
+    kept = find(docs, s, key, column).keep().withColumn("_kept", F.lit(1)).withColumnRenamed("id", key)
+    return docs.select(file, F.col(key).cast("long").alias(key)).join(kept, key, "left").groupBy(file).agg(F.count("*").alias("rows"), F.count("_kept").alias("kept"))
+
+
+def totals(found: NearDuplicates, sets: DataFrame) -> DataFrame:
+    """One row: counts() with total_shingles, and buckets that max_bucket skipped."""
+    shingles = sets.agg(F.coalesce(F.sum(F.size("numbers").cast("long")), F.lit(0)).alias("total_shingles"))
+    return _side_by_side(found.counts(), shingles, found.skipped_buckets().agg(F.count("*").alias("skipped_buckets")))
+
+
+def folder_job(spark: SparkSession, paths: list[str] | str, out: str | None, s: Settings = Settings(), key: str = "doc_id", column: str = "text", count_only: bool = False) -> dict:
+    """Near duplicates over all rows of Parquet files: a dict with rows, kept, removed, kept_by_file and seconds of each step. The kept rows go to ``out``, unless ``count_only``."""
+    from loamsift.sources.readers import parquet
+
+    clock, seconds = time.perf_counter(), {}
+
+    def lap(name: str) -> None:
+        nonlocal clock
+        now = time.perf_counter()
+        seconds[name], clock = round(now - clock, 3), now
+
+    docs = parquet(spark, paths, text=column)
+    found = materialize(files_report(docs, s, "_file", key, column))
+    lap("find")
+    rows = found.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.coalesce(F.sum("kept"), F.lit(0))).first()
+    if not count_only:
+        drop_near_duplicates(docs.drop("_file"), s, key, column).write.option("compression", "zstd").parquet(out)
+        lap("write")
+    return {"rows": rows[0], "kept": rows[1], "removed": rows[0] - rows[1], "kept_by_file": found, "seconds": seconds}
+
+
 def drop_near_duplicates(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", column: str = "text") -> DataFrame:
     """``docs`` less all but the smallest id of each component; rows with a null text leave too (see Settings.drop_null)."""
     return docs.join(find(docs, s, key, column).keep().withColumnRenamed("id", key), key, "left_semi")

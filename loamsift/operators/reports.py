@@ -79,3 +79,28 @@ def bits_per_byte(rows: DataFrame, nll: str, n_bytes: str) -> DataFrame:
 def http_status(codes: DataFrame, status: str = "status") -> DataFrame:
     """(status, count, success), success being 200 to 399."""
     return codes.groupBy(status).agg(F.count("*").alias("count")).withColumn("success", F.col(status).between(200, 399))
+
+
+def dataset_totals(manifest: DataFrame, budget: int) -> DataFrame:
+    """One row over complete shards of a manifest (filtered_tokens, unfiltered_tokens, filtered_docs, unfiltered_docs, sampled_pct, config): sums, the mean percentage sampled,
+    the part of a token budget, and how many shards each configuration made, as 'config: n' in order."""
+    config = manifest.groupBy("config").agg(F.count("*").alias("n")).select(F.concat_ws(": ", "config", F.col("n").cast("string")).alias("c"))
+    listed = config.agg(F.array_join(F.array_sort(F.collect_list("c")), "; ").alias("filter_configs"), F.lit(1).alias("_one"))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("filtered_tokens", "unfiltered_tokens", "filtered_docs", "unfiltered_docs")]
+    own = manifest.agg(F.count("*").alias("shards"), *sums, F.coalesce(F.avg("sampled_pct"), F.lit(0.0)).alias("mean_sampled_pct"), F.lit(1).alias("_one"))
+    return own.join(listed, "_one").drop("_one").withColumn("pct_of_budget", 100.0 * F.col("filtered_tokens") / F.lit(budget))
+
+
+def compare_arms(scores: DataFrame, prompt: str, arm: str, value: str, first: str, second: str) -> DataFrame:
+    """One row: prompts that both arms answered, on how many ``first`` is lower than ``second``, and each arm's number, median and mean over its own answers. Nulls are no answers."""
+    both = [F.max(F.when(F.col(arm) == a, F.col(value))).alias(c) for a, c in ((first, "_a"), (second, "_b"))]
+    own = scores.where(F.col(value).isNotNull()).groupBy(prompt).agg(*both)
+    kept = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    of = [x for c, n in (("_a", "first"), ("_b", "second")) for x in (F.count(c).alias(f"{n}_n"), F.percentile(c, F.lit(0.5)).alias(f"{n}_median"), F.avg(c).alias(f"{n}_mean"))]
+    return own.agg(F.count_if(kept).alias("prompts"), F.count_if(kept & (F.col("_a") < F.col("_b"))).alias("first_lower"), *of)
+
+
+def label_counts(scored: DataFrame, *labels: str) -> DataFrame:
+    """(label_column, label, count) of several label columns, in one pass."""
+    rows = F.explode(F.array(*[F.struct(F.lit(c).alias("label_column"), F.col(c).cast("string").alias("label")) for c in labels]))
+    return scored.select(rows.alias("r")).select("r.*").groupBy("label_column", "label").agg(F.count("*").alias("count"))

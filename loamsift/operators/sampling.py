@@ -31,3 +31,11 @@ def first_rows(rows: DataFrame, file: str, order: str, n: int) -> DataFrame:
     """The first ``n`` rows of each file, which a plain limit wouldn't give."""
     best = Window.partitionBy(file).orderBy(order)
     return rows.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= n).drop("_n")
+
+
+def strided(files: DataFrame, path: str, ranks: int) -> DataFrame:
+    """``files`` with the rank that reads each: in order of their paths, every ``ranks``-th from the rank's own number on. Ranks are disjoint and differ by one file at most."""
+    if ranks < 1:
+        raise ValueError("ranks must be at least 1")
+    order = Window.partitionBy(F.lit(0)).orderBy(path)  # a row for each file, not for each of its rows
+    return files.select(path).distinct().withColumn("rank", F.pmod(F.row_number().over(order) - 1, F.lit(ranks)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,36 +10,10 @@ from loamsift.functions import html, minhash, pii, text
 from loamsift.functions import patterns as P
 from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling
 from loamsift.plans import curation
+from loamsift.plans.registry import ORACLES, QUERIES, Query, documents, query, quoted, table
 from loamsift.session import spread
 from loamsift.sources import readers, sinks, warc
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"))
-
-
-def quoted(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
-
-
 # ---- Gopher ----------------------------------------------------------------------------------------------------
 
 _STOPS = ", ".join(map(quoted, P.STOP_WORDS))

@@ -32,6 +32,14 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/loamsift-{uuid.uuid4().hex}"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its scheme: that of the default file system where it names none."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(path)
+    uri = where.getFileSystem(context._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return uri if "://" in uri else uri.replace(":", "://", 1)
+
+
 #: Folders of scratch tables that are still there.
 _scratch: set[str] = set()
 _CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

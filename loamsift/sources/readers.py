@@ -5,7 +5,7 @@ from __future__ import annotations
 import glob
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,14 @@ def files(pattern: str, start: int = 0, most: int | None = None) -> list[str]:
     return sorted_slice(glob.glob(pattern), start, most)
 
 
+def listing(spark: SparkSession, pattern: str, start: int = 0, most: int | None = None) -> list[str]:
+    """sorted_slice of the files that match a pattern in any store, by Hadoop's file systems."""
+    context = spark.sparkContext
+    where = context._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = where.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(where) or []
+    return sorted_slice([f.getPath().toString() for f in found], start, most)
+
+
 def _checked(paths: list[str] | str) -> list[str]:
     own = [paths] if isinstance(paths, str) else list(paths)
     for p in own:
@@ -52,13 +60,39 @@ def json_lines(spark: SparkSession, paths: list[str] | str, schema: T.StructType
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(own)
 
 
+def json_rows(spark: SparkSession, paths: list[str] | str, schema: str, rows_per_file: int | None = None) -> DataFrame:
+    """(path, file_idx, row_idx, *schema): rows of JSON-lines files, numbered from 0 among the valid lines of their file; ``rows_per_file`` counts valid lines, too.
+
+    file_idx is the place of the file among all in order. A file is numbered in one task's sorted run, so a huge one is better split beforehand.
+    """
+    known = T.StructType.fromDDL(schema) if hasattr(T.StructType, "fromDDL") else T._parse_datatype_string(schema)
+    read = spark.read.text(_checked(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_line"), "value")
+    bad = T.StructType([*known.fields, T.StructField("_corrupt_record", T.StringType())])
+    parsed = read.where(F.trim("value") != "").withColumn("_row", F.from_json("value", bad)).where("_row._corrupt_record IS NULL AND _row IS NOT NULL").drop("value")
+    place = F.row_number().over(Window.partitionBy("path").orderBy("_block", "_line")) - 1
+    own = parsed.withColumn("row_idx", place)
+    own = own if rows_per_file is None else own.where(F.col("row_idx") < rows_per_file)
+    files = spark.read.format("binaryFile").load(paths).select("path").distinct().withColumn("file_idx", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("path")) - 1)
+    files = files.select(F.regexp_replace("path", "^file:/+", "file:///").alias("path"), "file_idx")
+    return own.withColumn("path", F.regexp_replace("path", "^file:/+", "file:///")).join(files, "path").select("path", "file_idx", "row_idx", *[F.col(f"_row.{f.name}").alias(f.name) for f in known.fields])
+
+
+def random_windows(tokens: DataFrame, ids: str, key: str, length: int, number: int, seed: int = 42) -> DataFrame:
+    """(key, draw, start, window): for each row ``number`` windows of ``length`` ids whose starts a hash draws, with repeats; rows with fewer ids give none."""
+    draws = F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+    own = tokens.where(F.size(ids) >= length).select(key, draws.alias("draw"), ids)
+    digits = F.substring(F.sha1(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"), F.col("draw").cast("string"))), 1, 12)
+    start = F.pmod(F.conv(digits, 16, 10).cast("long"), (F.size(ids) - length + 1).cast("long")).cast("int")
+    return own.withColumn("start", start).select(key, "draw", "start", F.slice(ids, F.col("start") + 1, length).alias("window"))
+
+
 def text_lines(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(path, line)."""
     return spark.read.text(_checked(paths)).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("line"))
 
 
 def whole_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
-    """(path, text): one row for each file."""
+    """(path, text): one row for each file that has bytes; Spark's file index leaves out those without."""
     return spark.read.text(_checked(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 

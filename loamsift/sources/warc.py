@@ -100,7 +100,17 @@ def warc(spark: SparkSession, path: str) -> DataFrame:
 
 def wet(spark: SparkSession, path: str) -> DataFrame:
     """(text, url) of conversion records."""
-    return warc(spark, path).where("warc_type = 'conversion'").select(F.col("content").alias("text"), "url")
+    return texts(warc(spark, path))
+
+
+def archives(spark: SparkSession, path: str) -> DataFrame:
+    """Records of archives in any store that Spark reads, whole files at a time."""
+    return parse(spark.read.format("binaryFile").load(path))
+
+
+def texts(found: DataFrame) -> DataFrame:
+    """(text, url) of the conversion records among records."""
+    return found.where("warc_type = 'conversion'").select(F.col("content").alias("text"), "url")
 
 
 def parse(archives: DataFrame, content: str = "content") -> DataFrame:

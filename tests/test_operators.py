@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import gzip
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from loamsift.functions import text
-from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling
+from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling, seed_corpus
 from loamsift.operators.components import components
 from loamsift.plans import curation
 from loamsift.sources import readers, sinks, warc
@@ -242,6 +243,59 @@ def test_warc_and_wet(spark, tmp_path):
     assert warc.parse(stored).count() == 3
 
 
+def test_files_by_name(spark, tmp_path):
+    """Verbatim copies, empty files, lines with their closing break, zst lines of empty and full tables, metrics."""
+    path = str(tmp_path / "out")
+    files = spark.createDataFrame([("a", b"\x00\xff"), ("b", b""), ("c", None), (None, b"x")], "name string, body binary")
+    assert sinks.write_files(files, path) == 2 and sorted(p.name for p in (tmp_path / "out").iterdir() if not p.name.endswith(".crc")) == ["a", "b"]
+    assert (tmp_path / "out" / "a").read_bytes() == b"\x00\xff" and (tmp_path / "out" / "b").read_bytes() == b""
+    assert sinks.copy_survivors(files, spark.createDataFrame([("b",), ("b",), ("z",)], "name string"), str(tmp_path / "kept")) == 1
+    assert sinks.write_lines(spark.createDataFrame([("x", "1\n2"), ("y", "")], "name string, text string"), str(tmp_path / "lines")) == 2
+    assert (tmp_path / "lines" / "x").read_text() == "1\n2\n" and (tmp_path / "lines" / "y").read_text() == ""
+    sinks.write_json_lines(files.select("name").limit(0), str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists() or not [p for p in (tmp_path / "none").iterdir() if p.name.startswith("part")]
+    sinks.write_metrics(spark, {"b": 1, "a": [2]}, str(tmp_path / "m" / "x.json"))
+    assert json.loads((tmp_path / "m" / "x.json").read_text()) == {"a": [2], "b": 1}
+
+
+def test_failed_writes_leave_no_file(spark, tmp_path):
+    with pytest.raises(ZeroDivisionError), sinks._whole_file(f"file://{tmp_path}", "x") as f:
+        f.write(b"half")
+        1 / 0
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_folder_job(spark, tmp_path):
+    rows = [(1, "a b c d e f g"), (2, "a b c d e f g"), (3, "other words stand here now and then"), (4, None)]
+    spark.createDataFrame(rows[:2], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "in"))
+    spark.createDataFrame(rows[2:], "doc_id long, text string").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    got = near_dup.folder_job(spark, str(tmp_path / "in"), None, count_only=True)
+    assert (got["rows"], got["kept"], got["removed"]) == (4, 2, 2) and set(got["seconds"]) == {"find"}
+    assert sorted((r.rows, r.kept) for r in got["kept_by_file"].collect()) == [(2, 1), (2, 1)]
+    near_dup.folder_job(spark, str(tmp_path / "in"), str(tmp_path / "out"))
+    assert sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3]
+
+
+def test_seed_limits(spark):
+    rows = [(1, 10, "x  y"), (2, seed_corpus.MAX_RAW_BYTES + 1, "x"), (3, 10, "a" * (seed_corpus.MAX_TEXT_CHARS + 1)), (4, 10, " "), (5, 10, None)]
+    pair = lambda a, b: F.struct(F.lit(a).alias("label"), F.lit(b).alias("score"))
+    df = spark.createDataFrame(rows, "id int, n int, text string")
+    run = lambda lang, nsfw, toxic: {r.id: r.removed_by for r in seed_corpus.positive_decisions(df, F.col("n"), F.col("text"), pair("en", lang), pair("nsfw", nsfw), pair("toxic", toxic)).collect()}
+    assert run(0.5, 0.69, 0.69) == {1: None, 2: "too_large", 3: "too_large", 4: "empty", 5: "empty"}
+    assert run(0.49, 1.0, 1.0)[1] == "language" and run(0.5, 0.7, 0.7)[1] == "nsfw" and run(0.5, 0.6, 0.7)[1] == "toxic"
+    assert [r.value for r in seed_corpus.negatives(df.where("id <> 3"), "id", number=1).collect()] == ["__label__negative x  y"]
+
+
+def test_many_components_agree_with_few(spark):
+    from loamsift.operators import components as K
+
+    rng = random.Random(3)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(0, i) for i in range(400, 460)] + [(i, i + 1) for i in range(500, 540)]
+    df = spark.createDataFrame(edges, "u long, v long")
+    stars, once = (sorted((r.node, r.component) for r in K.components(df, few).collect()) for few in (0, 10_000))
+    assert stars == once and (459, min(c for n, c in once if n == 400)) in once
+
+
 def test_files_and_sinks(spark, tmp_path):
     for n in ("b", "a", "c"):
         (tmp_path / f"{n}.txt").write_text(f"{n}1\n{n}2\n")

@@ -8,7 +8,7 @@ import os
 import duckdb
 import pytest
 
-from loamsift.plans import catalog
+from loamsift.plans import catalog, catalog_corpus  # noqa: F401  (both register queries)
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
