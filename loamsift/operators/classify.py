@@ -35,6 +35,14 @@ def trigrams(text: str) -> np.ndarray:
     return (h >> np.uint32(16)).astype(np.int64)
 
 
+def distinct(buckets: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """np.unique of bucket numbers by marks in ``seen`` (all false before and after), which costs no sort."""
+    seen[buckets] = True
+    out = np.flatnonzero(seen)
+    seen[out] = False
+    return out
+
+
 @dataclass
 class Model:
     labels: list[str]
@@ -42,13 +50,13 @@ class Model:
     prior: np.ndarray
 
     def probabilities(self, texts: list[str]) -> np.ndarray:
-        out = np.empty((len(texts), len(self.labels)))
+        z = np.empty((len(texts), len(self.labels)))
+        seen = np.zeros(DIMENSIONS, bool)
         for i, t in enumerate(texts):
-            g = np.unique(trigrams(t))
-            z = self.prior + self.weights[:, g].sum(1) / np.sqrt(len(g))
-            e = np.exp(z - z.max())
-            out[i] = e / e.sum()
-        return out
+            g = distinct(trigrams(t), seen)
+            z[i] = self.prior + self.weights[:, g].sum(1) / np.sqrt(len(g))
+        e = np.exp(z - z.max(1, keepdims=True))
+        return e / e.sum(1, keepdims=True)
 
     def save(self, path: str) -> None:
         with open(path, "wb") as f:
@@ -84,18 +92,24 @@ def fit(texts: list[str], labels: list[str]) -> Model:
     names = sorted(set(labels))
     counts = np.full((max(1, len(names)), DIMENSIONS), 0.5)
     number = np.zeros(max(1, len(names)))
+    seen = np.zeros(DIMENSIONS, bool)
     for t, label in zip(texts, labels, strict=True):
         k = names.index(label)
-        counts[k][np.unique(trigrams(t))] += 1
+        counts[k][distinct(trigrams(t), seen)] += 1
         number[k] += 1
     rate = np.log(counts / counts.sum(1, keepdims=True))
     return Model(names or ["unknown"], rate - rate.mean(0), np.zeros(max(1, len(names))))
 
 
-def train(rows: DataFrame, label: str, key: str = "doc_id", text: str = "text", per_label: int = PER_LABEL) -> Model:
-    """Fit on at most ``per_label`` rows of each label, the same at every run; only those reach the driver."""
-    own = rows.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(key, F.col(text).alias("text"), F.col(label).cast("string").alias("label"))
-    got = balanced(own, "label", key, per_label).orderBy(key).select("text", "label").collect()
+def train(docs: DataFrame, label: str, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text", per_label: int = PER_LABEL) -> Model:
+    """Fit on at most ``per_label`` rows of each label, the same at every run; only those reach the driver. ``labels`` is (key, label), where ``docs`` doesn't have the label itself.
+
+    Keys are drawn first, without texts; the drawn ones, ``per_label`` times the number of labels, are few enough to be broadcast to the texts.
+    """
+    known = docs.where(F.col(text).isNotNull()).select(key, *([] if labels is not None else [label]))
+    known = known.join(labels.select(key, label), key) if labels is not None else known
+    drawn = balanced(known.where(F.col(label).isNotNull()).select(key, F.col(label).cast("string").alias("label")), "label", key, per_label).select(key, "label")
+    got = docs.where(F.col(text).isNotNull()).select(key, F.col(text).alias("text")).join(F.broadcast(drawn), key).orderBy(key).select("text", "label").collect()
     return fit([r[0] for r in got], [r[1] for r in got])
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loamsift.operators.sampling import order_key
+from loamsift.operators.sampling import ranged, running, with_running
 
 
 def token_count(text: Column) -> Column:
@@ -18,11 +18,15 @@ def within_budget(docs: DataFrame, shard: str, key: str, tokens: str, budget: Co
 
     Documents without tokens take no part. The last document gives only what is missing, its text stays whole. A shard with too few tokens gives all; see shortfall.
     """
-    order = Window.partitionBy(shard).orderBy(order_key(F.concat_ws("|", F.col(shard), F.col(key).cast("string")), seed), key)
-    own = docs.where(F.col(tokens) > 0).withColumns({"place": F.row_number().over(order), "_sum": F.sum(tokens).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_budget": budget})
+    own = ranged(docs.where(F.col(tokens) > 0).withColumn("_budget", budget), shard, key, seed)
+    # Ranges that begin beyond the budget go before anything is sorted; within a range, sums go on from those of the ranges before it.
+    own = with_running(own, running(own, shard, _rows=F.lit(1), _tokens=F.col(tokens)), shard).where("_tokens < _budget")
+    order = Window.partitionBy(shard, "_range").orderBy("_order", key)
+    upto = F.col("_tokens") + F.sum(tokens).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    own = own.withColumns({"place": (F.col("_rows") + F.row_number().over(order)).cast("int"), "_sum": upto})
     before = F.col("_sum") - F.col(tokens)
     taken = F.least(F.col(tokens), F.col("_budget") - before)
-    return own.where(before < F.col("_budget")).withColumns({"taken": taken, "truncated": taken < F.col(tokens)}).drop("_sum", "_budget")
+    return own.where(before < F.col("_budget")).withColumns({"taken": taken, "truncated": taken < F.col(tokens)}).select(*docs.columns, "place", "taken", "truncated")
 
 
 def shortfall(matched: DataFrame, shard: str, budgets: DataFrame) -> DataFrame:

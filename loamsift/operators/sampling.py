@@ -21,10 +21,37 @@ def balanced(rows: DataFrame, label: str, key: str, per_label: int = 500, seed:
     return rows.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= per_label)
 
 
+#: Hexadecimal digits of an order key that deal a shard's rows into ranges: 16 to this power for each shard.
+RANGE_DIGITS = 3
+
+
+def ranged(rows: DataFrame, shard: str, key: str, seed: int) -> DataFrame:
+    """``rows`` with _order, their place in a seeded order of their shard, and _range, its leading digits: ranges of a shard follow each other, and each holds an even part of it."""
+    order = order_key(F.concat_ws("|", F.col(shard), F.col(key).cast("string")), seed)
+    return rows.withColumn("_order", order).withColumn("_range", F.substring("_order", 1, RANGE_DIGITS))
+
+
+def running(own: DataFrame, shard: str, **sums: Column) -> DataFrame:
+    """(shard, _range, *sums): for each range the sums over the ranges of its shard before it; at most 16^RANGE_DIGITS rows for each shard."""
+    each = own.groupBy(shard, "_range").agg(*[F.sum(v).alias(k) for k, v in sums.items()])
+    before = Window.partitionBy(shard).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    return each.select(F.col(shard).alias("_shard"), F.col("_range").alias("_r"), *[F.coalesce(F.sum(k).over(before), F.lit(0)).alias(k) for k in sums])
+
+
+def with_running(own: DataFrame, before: DataFrame, shard: str) -> DataFrame:
+    """``own`` joined to what ``running`` gave, null shards included."""
+    return own.join(before, F.col(shard).eqNullSafe(F.col("_shard")) & (F.col("_range") == F.col("_r"))).drop("_shard", "_r")
+
+
 def permuted(rows: DataFrame, shard: str, key: str, seed: int = 42) -> DataFrame:
-    """``rows`` with their place (from 1) in a seeded permutation of their shard."""
-    best = Window.partitionBy(shard).orderBy(order_key(F.concat_ws("|", F.col(shard), F.col(key).cast("string")), seed), key)
-    return rows.withColumn("place", F.row_number().over(best))
+    """``rows`` with their place (from 1) in a seeded permutation of their shard.
+
+    Places within a range are counted by themselves and moved on by the rows of the ranges before it, so no task sorts a whole shard.
+    """
+    own = ranged(rows, shard, key, seed)
+    own = with_running(own, running(own, shard, _before=F.lit(1)), shard)
+    best = Window.partitionBy(shard, "_range").orderBy("_order", key)
+    return own.withColumn("place", (F.row_number().over(best) + F.col("_before")).cast("int")).select(*rows.columns, "place")
 
 
 def first_rows(rows: DataFrame, file: str, order: str, n: int) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loamsift.functions import gopher as G
@@ -247,13 +247,24 @@ def minhash_signature(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.select(F.col("id").alias("doc_id"), F.array_join(minhash.signatures(F.col("shingles"), 8), ",").alias("signature"))
 
 
-LSH_SQL = f"""{_signature_sql(FEW.num_hashes)}, band AS (SELECT doc_id, i // {FEW.rows} AS band, string_agg(v::VARCHAR, ',' ORDER BY i) AS key FROM m GROUP BY doc_id, i // {FEW.rows}),
+def _lsh_sql(s: near_dup.Settings) -> str:
+    return f"""{_signature_sql(s.num_hashes)}, band AS (SELECT doc_id, i // {s.rows} AS band, string_agg(v::VARCHAR, ',' ORDER BY i) AS key FROM m GROUP BY doc_id, i // {s.rows}),
 sets AS (SELECT doc_id, md5(string_agg(g, chr(10) ORDER BY g)) AS h, count(*) AS n FROM s GROUP BY doc_id), reps AS (SELECT h, min(doc_id) AS rep FROM sets GROUP BY h),
 cand AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*)::BIGINT AS bands FROM band a JOIN band b USING (band, key) WHERE a.doc_id < b.doc_id AND a.doc_id IN (SELECT rep FROM reps) AND b.doc_id IN (SELECT rep FROM reps) GROUP BY 1, 2),
 inter AS (SELECT cand.a, cand.b, count(*) AS k FROM cand JOIN s x ON x.doc_id = cand.a JOIN s y ON y.doc_id = cand.b AND x.g = y.g GROUP BY 1, 2),
 pair AS (SELECT c.a, c.b, c.bands, coalesce(k, 0)::DOUBLE / (p.n + q.n - coalesce(k, 0)) AS jaccard FROM cand c LEFT JOIN inter USING (a, b) JOIN sets p ON p.doc_id = c.a JOIN sets q ON q.doc_id = c.b)"""
 
 
+def _groups_sql(s: near_dup.Settings) -> str:
+    return f"""WITH RECURSIVE {_lsh_sql(s)}, edge AS (SELECT a AS u, b AS v FROM pair WHERE jaccard >= {s.threshold} UNION SELECT b, a FROM pair WHERE jaccard >= {s.threshold}),
+reach(u, v) AS (SELECT rep, rep FROM reps UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u), comp AS (SELECT u, min(v) AS component FROM reach GROUP BY u),
+member AS (SELECT doc_id, component FROM (SELECT doc_id, rep FROM sets JOIN reps USING (h)) JOIN comp ON comp.u = rep)"""
+
+
+LSH_SQL = _lsh_sql(FEW)
+PRODUCTION = near_dup.Settings()
+
+
 @query(f"WITH {LSH_SQL} SELECT a, b, bands FROM cand")
 def lsh_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.candidates(near_dup.find(documents(spark, sf_dir), FEW).keys, FEW)
@@ -264,36 +275,32 @@ def jaccard_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find(documents(spark, sf_dir), FEW).pairs
 
 
-_GROUPS_SQL = f"""WITH RECURSIVE {LSH_SQL}, edge AS (SELECT a AS u, b AS v FROM pair WHERE jaccard >= 0.5 UNION SELECT b, a FROM pair WHERE jaccard >= 0.5),
-reach(u, v) AS (SELECT rep, rep FROM reps UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u), comp AS (SELECT u, min(v) AS component FROM reach GROUP BY u)
-SELECT doc_id, component FROM (SELECT doc_id, rep FROM sets JOIN reps USING (h)) JOIN comp ON comp.u = rep"""
-
-
-@query(_GROUPS_SQL)
+@query(f"{_groups_sql(FEW)} SELECT doc_id, component FROM member")
 def near_dup_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dup.find(documents(spark, sf_dir), FEW).membership
     return found.select(F.col("id").alias("doc_id"), "component")
 
 
-@query(f"SELECT doc_id FROM ({_GROUPS_SQL}) WHERE doc_id = component")
+@query(f"{_groups_sql(FEW)} SELECT doc_id FROM member WHERE doc_id = component")
 def near_dup_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.find(documents(spark, sf_dir), FEW).keep().withColumnRenamed("id", "doc_id")
 
 
-@query()
+@query(f"""{_groups_sql(PRODUCTION)} SELECT (SELECT count(*) FROM member)::BIGINT AS documents, (SELECT count(*) FROM member WHERE doc_id <> component)::BIGINT AS removed, (SELECT count(*) FROM cand)::BIGINT AS candidate_pairs,
+(SELECT coalesce(sum(bands), 0) FROM cand)::BIGINT AS candidate_pairs_by_band, (SELECT count(*) FROM pair WHERE jaccard >= {PRODUCTION.threshold})::BIGINT AS verified_pairs""")
 def near_dup_production(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.find(documents(spark, sf_dir)).counts()
+    return near_dup.find(documents(spark, sf_dir), PRODUCTION).counts()
 
 
-@query()
+@query(f"{_groups_sql(PRODUCTION)} SELECT doc_id, component FROM member")
 def near_dup_production_components(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_dup.find(documents(spark, sf_dir)).membership
+    found = near_dup.find(documents(spark, sf_dir), PRODUCTION).membership
     return found.select(F.col("id").alias("doc_id"), "component")
 
 
-@query()
+@query(f"{_groups_sql(PRODUCTION)} SELECT doc_id FROM member WHERE doc_id = component")
 def near_dup_production_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dup.find(documents(spark, sf_dir)).keep().withColumnRenamed("id", "doc_id")
+    return near_dup.find(documents(spark, sf_dir), PRODUCTION).keep().withColumnRenamed("id", "doc_id")
 
 
 # ---- languages and models --------------------------------------------------------------------------------------
@@ -322,44 +329,83 @@ def language_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).select("doc_id", classify.language_name(F.col("lang")).alias("language"))
 
 
+_FOLD = "(('0x' || substr(md5(doc_id::VARCHAR), 1, 4))::INT % 5)"
+
+
+def _fold() -> Column:
+    return F.conv(F.substring(F.md5(F.col("doc_id").cast("string")), 1, 4), 16, 10).cast("int") % 5
+
+
 def _held_out(docs: DataFrame) -> DataFrame:
-    return docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)
+    return docs.where(_fold() == 0)
 
 
 def _learning(docs: DataFrame) -> DataFrame:
-    return docs.where(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0)
+    return docs.where(_fold() != 0)
+
+
+def _trigrams_sql(text: str, source: str) -> str:
+    """(doc_id, h): the distinct buckets of the byte trigrams of a text."""
+    value = f"(('0x' || substr(x, (2 * i - 1)::BIGINT, 6))::UINTEGER::UBIGINT * {0x9E3779B1} % 4294967296) >> 16"
+    return f"SELECT DISTINCT doc_id, {value} AS h FROM (SELECT doc_id, x, unnest(range(1, greatest(length(x) // 2 - 1, 2))) AS i FROM (SELECT doc_id, rpad(hex(encode({text})), greatest(2 * strlen({text}), 6)::INT, '0') AS x FROM {source}))"
+
+
+def _model_sql(name: str, label: str, source: str, flat: str) -> str:
+    """A table ``name`` of doc_id, label and score: naive Bayes over trigram buckets, fitted on a bounded sample of ``source`` (doc_id, text, label column), asked about all documents."""
+    return f"""{name}_t AS (SELECT doc_id, text, label FROM (SELECT doc_id, text, {label}::VARCHAR AS label, row_number() OVER (PARTITION BY {label} ORDER BY sha1('42|' || doc_id), doc_id) AS r FROM {source} WHERE {label} IS NOT NULL AND {_FOLD} <> 0) WHERE r <= {classify.PER_LABEL}),
+{name}_c AS (SELECT label, h, count(*) + 0.5::DOUBLE AS c FROM ({_trigrams_sql('text', f'{name}_t')}) JOIN {name}_t USING (doc_id) GROUP BY label, h),
+{name}_b AS (SELECT label, ln(0.5::DOUBLE / (sum(c - 0.5) + {classify.DIMENSIONS / 2}::DOUBLE)) AS base FROM {name}_c GROUP BY label),
+{name}_g AS ({_trigrams_sql(flat, 'documents')}),
+{name}_n AS (SELECT doc_id, count(*) AS n FROM {name}_g GROUP BY doc_id),
+{name}_d AS (SELECT doc_id, label, sum(ln(c / 0.5::DOUBLE)) AS d FROM {name}_g JOIN {name}_c USING (h) GROUP BY doc_id, label),
+{name}_z AS (SELECT doc_id, {name}_b.label, (n * (base - avg(base) OVER w) + coalesce(d, 0) - avg(coalesce(d, 0)) OVER w) / sqrt(n) AS z FROM {name}_n CROSS JOIN {name}_b LEFT JOIN {name}_d USING (doc_id, label) WINDOW w AS (PARTITION BY doc_id)),
+{name} AS (SELECT doc_id, arg_max(label, z) AS label, 1 / sum(exp(z - top)) AS score FROM (SELECT *, max(z) OVER (PARTITION BY doc_id) AS top FROM {name}_z) GROUP BY doc_id)"""
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents(spark, sf_dir).join(table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query()
+_ONE_LINE_SQL = "translate(text, chr(10) || chr(13), '  ')"
+_JOINED = "(SELECT doc_id, text, quality, toxic FROM documents JOIN labels USING (doc_id))"
+LANGUAGE_SQL = _model_sql("lang_", "lang", "documents", _ONE_LINE_SQL)
+QUALITY_SQL = _model_sql("qual_", "quality", _JOINED, _CLEAN)
+TOXIC_SQL = _model_sql("tox_", "toxic", _JOINED, _ONE_LINE_SQL)
+_QUALITY_LABEL = "CASE label WHEN '1' THEN 'positive' ELSE 'negative' END"
+
+
+def _rounded(score: str, name: str) -> Column:
+    """Sums of logarithms differ by the order of their terms, in the last digits."""
+    return F.round(score, 6).alias(name)
+
+
+@query(f"WITH {LANGUAGE_SQL} SELECT doc_id, label AS detected_language, round(score, 6) AS language_score FROM lang_")
 def langid_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = classify.train(_learning(docs), "lang")
     found = classify.identify_language(spark, model, F.col("text"))
-    return docs.withColumn("_f", found).select("doc_id", F.col("_f.label").alias("detected_language"), F.col("_f.score").alias("language_score"))
+    return docs.withColumn("_f", found).select("doc_id", F.col("_f.label").alias("detected_language"), _rounded("_f.score", "language_score"))
 
 
-@query()
+@query(f"WITH {QUALITY_SQL} SELECT doc_id, {_QUALITY_LABEL} AS quality_label, round(score, 6) AS quality_score, CASE label WHEN '1' THEN 'wiki' ELSE 'cc' END AS category FROM qual_")
 def quality_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = classify.train(_learning(_labelled(spark, sf_dir)), "quality")
+    model = classify.train(documents(spark, sf_dir), "quality", _learning(table(spark, sf_dir, "labels")))
     own = documents(spark, sf_dir).withColumn("_f", classify.classify_quality(spark, model, F.col("text")))
-    return own.select("doc_id", F.col("_f.label").alias("quality_label"), F.col("_f.score").alias("quality_score"), classify.quality_category(F.col("_f")).alias("category"))
+    return own.select("doc_id", F.col("_f.label").alias("quality_label"), _rounded("_f.score", "quality_score"), classify.quality_category(F.col("_f")).alias("category"))
 
 
-@query()
+@query(f"WITH {TOXIC_SQL} SELECT doc_id, CASE label WHEN '1' THEN 'toxic' ELSE 'non-toxic' END AS toxic_label, round(score, 6) AS toxic_score FROM tox_")
 def content_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model = classify.train(_learning(_labelled(spark, sf_dir)), "toxic")
+    model = classify.train(documents(spark, sf_dir), "toxic", _learning(table(spark, sf_dir, "labels")))
     own = documents(spark, sf_dir).withColumn("_f", classify.classify_content(spark, model, F.col("text"), "toxic"))
-    return own.select("doc_id", F.col("_f.label").alias("toxic_label"), F.col("_f.score").alias("toxic_score"))
+    return own.select("doc_id", F.col("_f.label").alias("toxic_label"), _rounded("_f.score", "toxic_score"))
 
 
-@query()
+@query(f"""WITH {QUALITY_SQL}, s AS (SELECT CASE quality WHEN 1 THEN 'positive' ELSE 'negative' END AS label, {_QUALITY_LABEL} AS predicted FROM qual_ JOIN labels USING (doc_id) WHERE {_FOLD} = 0)
+SELECT label, count(*)::BIGINT AS n, avg((label = predicted)::INT::DOUBLE) AS accuracy FROM s GROUP BY GROUPING SETS ((label), ())""")
 def classifier_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _labelled(spark, sf_dir)
-    model = classify.train(_learning(rows), "quality")
+    model = classify.train(documents(spark, sf_dir), "quality", _learning(table(spark, sf_dir, "labels")))
     own = _held_out(rows).withColumn("_f", classify.classify_quality(spark, model, F.col("text")))
     scored = own.select(F.when(F.col("quality") == 1, "positive").otherwise("negative").alias("label"), F.col("_f.label").alias("predicted"))
     return reports.accuracy(scored, "label", "predicted")
@@ -386,11 +432,14 @@ def pipeline_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.report(curation.decisions(documents(spark, sf_dir), _BY_COLUMN))
 
 
-@query()
+@query(f"""WITH {GOPHER_SQL}, {PII_SQL}, {LANGUAGE_SQL}, {QUALITY_SQL}, {TOXIC_SQL}
+SELECT doc_id, c.lang, c.source, c.n_chars, c.masked AS text, 'plain_text' AS html_type, l.label AS detected_language, round(l.score, 6) AS language_score, 'positive' AS quality_label, round(q.score, 6) AS quality_score, 'non-toxic' AS toxic_label, round(x.score, 6) AS toxic_score
+FROM c JOIN checked USING (doc_id) JOIN lang_ l USING (doc_id) JOIN qual_ q USING (doc_id) JOIN tox_ x USING (doc_id) WHERE l.label = 'en' AND l.score >= 0.5 AND len(failed) = 0 AND q.label = '1' AND x.label <> '1'""")
 def pipeline_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, rows = documents(spark, sf_dir), _learning(_labelled(spark, sf_dir))
-    plan = curation.Plan(language=classify.train(_learning(docs), "lang"), quality=classify.train(rows, "quality"), toxic=classify.train(rows, "toxic"))
-    return curation.curated(docs, plan)
+    docs, labels = documents(spark, sf_dir), _learning(table(spark, sf_dir, "labels"))
+    plan = curation.Plan(language=classify.train(_learning(docs), "lang"), quality=classify.train(docs, "quality", labels), toxic=classify.train(docs, "toxic", labels))
+    kept = curation.curated(docs, plan)
+    return kept.withColumns({c: F.round(c, 6) for c in ("language_score", "quality_score", "toxic_score")})
 
 
 @query("SELECT event_type, count(value)::BIGINT AS n, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95, quantile_cont(value, 0.99) AS p99, max(value) AS max FROM events GROUP BY event_type")
@@ -448,15 +497,17 @@ def token_budget_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.within_budget(own, "source", "doc_id", "n_tokens", F.lit(BUDGET).cast("long"))
 
 
-@query(f"""WITH t AS (SELECT source AS shard, sum({_TOKENS_SQL}) FILTER (doc_id % 3 <> 0) AS a, sum({_TOKENS_SQL}) FILTER (doc_id % 3 <> 1) AS b FROM documents GROUP BY source),
-p AS (SELECT shard, unnest([CASE WHEN shard = 'src1' THEN 'filtered: missing' END, CASE WHEN shard = 'src3' THEN 'unfiltered: bytes' END, CASE WHEN shard <> 'src1' AND a <> b THEN 'tokens differ' END]) AS problem FROM t)
+@query(f"""WITH t AS (SELECT source AS shard, sum({_TOKENS_SQL}) AS a, sum({_TOKENS_SQL}) + CASE WHEN source IN ('src3', 'src5') THEN 1 ELSE 0 END AS b FROM documents GROUP BY source),
+p AS (SELECT shard, unnest([CASE WHEN shard = 'src1' THEN 'filtered: missing' END, CASE WHEN shard = 'src7' THEN 'unfiltered: missing' END, CASE WHEN shard = 'src2' THEN 'filtered: bytes' END, CASE WHEN shard = 'src3' THEN 'unfiltered: bytes' END,
+  CASE WHEN shard NOT IN ('src1', 'src7') AND a <> b THEN 'tokens differ' END]) AS problem FROM t)
 SELECT shard, problem FROM p WHERE problem IS NOT NULL""")
 def match_verify(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = documents(spark, sf_dir).select(F.col("source").alias("shard"), "doc_id", matching.token_count(F.col("text")).alias("n"))
-    side = lambda keep: own.where(keep).groupBy("shard").agg(F.sum("n").alias("tokens"))
-    a = side("doc_id % 3 <> 0").where("shard <> 'src1'").withColumn("bytes", F.col("tokens") * 2)
-    b = side("doc_id % 3 <> 1").withColumn("bytes", F.col("tokens") * 2 + F.when(F.col("shard") == "src3", 1).otherwise(0))
-    return matching.verify_matched(own.select("shard").distinct(), a, b)
+    """Two sides of whole shards with planted faults: a side that is missing, bytes that are off, tokens that differ."""
+    shard = documents(spark, sf_dir).select(F.col("source").alias("shard"), matching.token_count(F.col("text")).alias("n")).groupBy("shard").agg(F.sum("n").alias("tokens"))
+    off = lambda *names: F.when(F.col("shard").isin(*names), 1).otherwise(0)
+    a = shard.where("shard <> 'src1'").withColumn("bytes", F.col("tokens") * 2 + off("src2"))
+    b = shard.where("shard <> 'src7'").withColumn("tokens", F.col("tokens") + off("src3", "src5")).withColumn("bytes", F.col("tokens") * 2 + off("src3"))
+    return matching.verify_matched(shard.select("shard"), a, b)
 
 
 # ---- sources ---------------------------------------------------------------------------------------------------

@@ -10,7 +10,7 @@ from loamsift.functions.gopher import gopher
 from loamsift.functions.text import collapse
 from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling, seed_corpus
 from loamsift.plans import curation
-from loamsift.plans.catalog import FEW, GOPHER_SQL, LINES_SQL, LSH_SQL, PII_SQL, _family_sql
+from loamsift.plans.catalog import FEW, GOPHER_SQL, LINES_SQL, LSH_SQL, PII_SQL, _groups_sql
 from loamsift.plans.registry import documents, query, quoted, table
 from loamsift.session import materialize, qualified, scratch_dir
 from loamsift.sources import readers, sinks, warc
@@ -207,17 +207,12 @@ def near_dup_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup._side_by_side(found.skipped_buckets().agg(F.count("*").alias("skipped_buckets")), found.candidates.agg(F.count("*").alias("candidate_pairs")))
 
 
-_PARTS = f"""{LSH_SQL}, edge AS (SELECT a AS u, b AS v FROM pair WHERE jaccard >= 0.5 UNION SELECT b, a FROM pair WHERE jaccard >= 0.5),
-reach(u, v) AS (SELECT rep, rep FROM reps UNION SELECT reach.u, edge.v FROM reach JOIN edge ON reach.v = edge.u), comp AS (SELECT u, min(v) AS component FROM reach GROUP BY u),
-member AS (SELECT doc_id, component FROM (SELECT doc_id, rep FROM sets JOIN reps USING (h)) JOIN comp ON comp.u = rep)"""
-
-
-@query(f"WITH RECURSIVE {_PARTS} SELECT source AS file, count(*)::BIGINT AS rows, count(*) FILTER (component = doc_id)::BIGINT AS kept FROM documents LEFT JOIN member USING (doc_id) GROUP BY source")
+@query(f"{_groups_sql(FEW)} SELECT source AS file, count(*)::BIGINT AS rows, count(*) FILTER (component = doc_id)::BIGINT AS kept FROM documents LEFT JOIN member USING (doc_id) GROUP BY source")
 def near_dup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.files_report(documents(spark, sf_dir), FEW, "source").withColumnRenamed("source", "file")
 
 
-@query(f"""WITH RECURSIVE {_PARTS} SELECT (SELECT count(*) FROM documents)::BIGINT AS documents, (SELECT count(*) FROM member WHERE doc_id <> component)::BIGINT AS removed, (SELECT count(*) FROM cand)::BIGINT AS candidate_pairs,
+@query(f"""{_groups_sql(FEW)} SELECT (SELECT count(*) FROM documents)::BIGINT AS documents, (SELECT count(*) FROM member WHERE doc_id <> component)::BIGINT AS removed, (SELECT count(*) FROM cand)::BIGINT AS candidate_pairs,
 (SELECT coalesce(sum(bands), 0) FROM cand)::BIGINT AS candidate_pairs_by_band, (SELECT count(*) FROM pair WHERE jaccard >= 0.5)::BIGINT AS verified_pairs, (SELECT sum(n) FROM sets)::BIGINT AS total_shingles, 0::BIGINT AS skipped_buckets""")
 def near_dup_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
