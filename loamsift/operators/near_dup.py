@@ -9,7 +9,7 @@ stars, and what those leave apart is compared in full, so the result is that of
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from hashlib import sha1
 
@@ -74,55 +74,72 @@ def _shingle_numbers(normal: str, n: int) -> np.ndarray:
     return np.sort(np.frombuffer(b"".join([sha1(g).digest()[:8] for g in own]), "<u8"))
 
 
+def _by_slices(batches: Iterator[pa.RecordBatch], n: int, make: Callable[[list, list[np.ndarray]], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``make(ids, sets)`` for bounded slices of texts (id, t), a set being _shingle_numbers of its text."""
+    for batch in batches:
+        ids, sets, size = [], [], 0
+        for i, t in zip(batch.column("id").to_pylist(), batch.column("t"), strict=True):
+            normal = text.normalize_text(t.as_py())
+            ids.append(i)
+            sets.append(_shingle_numbers(normal, n))
+            size += len(normal)
+            if size > SLICE_BYTES:
+                yield make(ids, sets)
+                ids, sets, size = [], [], 0
+        if ids:
+            yield make(ids, sets)
+
+
+def _mixed(x: np.ndarray, odd: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(odd)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(odd)
+    return x ^ (x >> np.uint64(32))
+
+
 def signed(docs: DataFrame, s: Settings, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(id, numbers, s1, s2, signature): the shingles as sorted 64-bit numbers, two sums that name their set, and their MinHash values, in one pass of Python.
+    """(id, n, s1, s2, keys): the number of shingles, two sums that name their set, and a 64-bit hash of each band of their MinHash signature.
 
-    Numbers stand for the shingles from here on: two shingles of one pair of documents share one with a chance of about 2^-64.
+    Neither shingles nor signatures are kept: of most documents no more than the keys is ever asked for.
     """
     family = minhash.hash_family(s.num_hashes)
-    n = s.ngrams
 
-    def batch_of(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+    def make(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
         first = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int64)
         flat = np.concatenate(sets)
-        values = minhash.signature_rows(flat, first, family)
+        values = minhash.signature_rows(flat, first, family).reshape(len(ids), s.num_bands, s.rows)
+        keys = np.zeros((len(ids), s.num_bands), np.uint64)
+        for j in range(s.rows):
+            keys = _mixed(keys * np.uint64(0xD6E8FEB86659FD93) + values[:, :, j], 0x9E3779B97F4A7C15)
         sums = []
-        for odd in (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)):
-            mixed = (flat ^ (flat >> np.uint64(31))) * odd
-            mixed = (mixed ^ (mixed >> np.uint64(29))) * odd
-            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed ^ (mixed >> np.uint64(32)))])
+        for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
+            total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_mixed(flat, odd))])
             sums.append(pa.array((total[first[1:]] - total[first[:-1]]).view(np.int64)))
-        lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(flat.view(np.int64)))
-        fixed = pa.ListArray.from_arrays(pa.array(np.arange(len(sets) + 1) * len(family), pa.int32()), pa.array(np.ascontiguousarray(values).view(np.int64).ravel()))
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists, *sums, fixed], names=["id", "numbers", "s1", "s2", "signature"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, sets, size = [], [], 0
-            for i, t in zip(batch.column("id").to_pylist(), batch.column("t"), strict=True):
-                normal = text.normalize_text(t.as_py())
-                ids.append(i)
-                sets.append(_shingle_numbers(normal, n))
-                size += len(normal)
-                if size > SLICE_BYTES:
-                    yield batch_of(ids, sets)
-                    ids, sets, size = [], [], 0
-            if ids:
-                yield batch_of(ids, sets)
-
-    return _body(docs, s, key, column).mapInArrow(run, "id long, numbers array<long>, s1 long, s2 long, signature array<long>")
-
-
-def classes(sets: DataFrame) -> DataFrame:
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * s.num_bands, pa.int32()), pa.array(keys.view(np.int64).ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.diff(first)), *sums, lists], names=["id", "n", "s1", "s2", "keys"])
+
+    return _body(docs, s, key, column).mapInArrow(lambda it: _by_slices(it, s.ngrams, make), "id long, n long, s1 long, s2 long, keys array<long>")
+
+
+def numbered(bodies: DataFrame, s: Settings) -> DataFrame:
+    """(id, numbers) of (id, t): the shingles as sorted 64-bit numbers. Two shingles of one pair of documents share one with a chance of about 2^-64."""
+
+    def make(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        offsets = np.concatenate([[0], np.cumsum([len(x) for x in sets])])
+        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(sets).view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), lists], names=["id", "numbers"])
+
+    return bodies.mapInArrow(lambda it: _by_slices(it, s.ngrams, make), "id long, numbers array<long>")
+
+
+def classes(signed: DataFrame) -> DataFrame:
     """(id, rep): rep is the smallest id with an equal set, which two sums and its size name."""
-    named = sets.select("id", "s1", "s2", F.size("numbers").alias("_n"))
-    return named.join(named.groupBy("s1", "s2", "_n").agg(F.min("id").alias("rep")), ["s1", "s2", "_n"]).select("id", "rep")
+    named = signed.select("id", "s1", "s2", "n")
+    return named.join(named.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep")), ["s1", "s2", "n"]).select("id", "rep")
 
 
-def band_keys(signed: DataFrame, s: Settings) -> DataFrame:
-    """(id, band, key) for each band of a signature; key is a 64-bit hash of its values, and pairs are verified whatever brought them together."""
-    keys = F.array(*[F.xxhash64(F.slice("signature", b * s.rows + 1, s.rows)) for b in range(s.num_bands)])
-    return signed.select("id", F.posexplode(keys).alias("band", "key"))
+def band_keys(signed: DataFrame) -> DataFrame:
+    """(id, band, key) for each band; pairs are verified whatever brought them together."""
+    return signed.select("id", F.posexplode("keys").alias("band", "key"))
 
 
 def buckets(keys: DataFrame) -> DataFrame:
@@ -196,7 +213,7 @@ def links(large: DataFrame, edges: DataFrame, sets: DataFrame, threshold: float)
 
 @dataclass
 class NearDuplicates:
-    """``membership``: (id, rep, component); ``candidates`` and ``pairs``: all candidate and all verified pairs of class representatives; ``keys``: their buckets.
+    """``membership``: (id, rep, component); ``sizes``: (id, n, ...), the number of shingles; ``candidates`` and ``pairs``: all candidate and all verified pairs of class representatives; ``keys``: their buckets.
 
     ``pairs`` and ``counts`` list pairs, the square of a bucket's classes; ``membership`` and ``keep`` don't.
     """
@@ -205,6 +222,7 @@ class NearDuplicates:
     pairs: DataFrame
     keys: DataFrame
     candidates: DataFrame
+    sizes: DataFrame
     settings: Settings
 
     def keep(self) -> DataFrame:
@@ -229,21 +247,24 @@ def _side_by_side(*one_row_each: DataFrame) -> DataFrame:
 
 def find(docs: DataFrame, s: Settings = Settings(), key: str = "doc_id", column: str = "text") -> NearDuplicates:
     """Signatures once, in a written table; then one shuffle for all bands, and rounds of links and components that each end in a written table."""
-    sets = materialize(signed(docs, s, key, column))
-    member = materialize(classes(sets))
-    chosen = sets.join(member.where("id = rep").select("id"), "id", "left_semi")
-    keys = materialize(band_keys(chosen.select("id", "signature"), s))
+    given = materialize(signed(docs, s, key, column))
+    member = materialize(classes(given))
+    chosen = given.join(member.where("id = rep").select("id"), "id", "left_semi")
+    keys = materialize(band_keys(chosen))
     met = materialize(candidates(keys, s, s.star_from))
+    large = materialize(_in_buckets(keys, s, s.star_from + 1))
+    # Shingles are made again, of those documents only that are compared with another.
+    asked = met.select(F.col("a").alias("id")).union(met.select("b")).union(large.select("id")).distinct()
+    sets = materialize(numbered(_body(docs, s, key, column).join(asked, "id", "left_semi"), s))
     pairs = materialize(verified(met, sets, s.threshold))
     edges = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
-    large = materialize(_in_buckets(keys, s, s.star_from + 1))
     if not large.isEmpty():
         edges = links(large, edges, sets, s.threshold)
         met = candidates(keys, s)
         pairs = verified(met, sets, s.threshold)
     labels = components(edges)
     joined = member.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    return NearDuplicates(joined.select("id", "rep", F.coalesce("component", "rep").alias("component")), pairs, keys, met, s)
+    return NearDuplicates(joined.select("id", "rep", F.coalesce("component", "rep").alias("component")), pairs, keys, met, given, s)
 
 
 def files_report(docs: DataFrame, s: Settings = Settings(), file: str = "_file", key: str = "doc_id", column: str = "text") -> DataFrame:
@@ -252,9 +273,9 @@ def files_report(docs: DataFrame, s: Settings = Settings(), file: str = "_file",
     return docs.select(file, F.col(key).cast("long").alias(key)).join(kept, key, "left").groupBy(file).agg(F.count("*").alias("rows"), F.count("_kept").alias("kept"))
 
 
-def totals(found: NearDuplicates, sets: DataFrame) -> DataFrame:
+def totals(found: NearDuplicates) -> DataFrame:
     """One row: counts() with total_shingles, and buckets that max_bucket skipped."""
-    shingles = sets.agg(F.coalesce(F.sum(F.size("numbers").cast("long")), F.lit(0)).alias("total_shingles"))
+    shingles = found.sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total_shingles"))
     return _side_by_side(found.counts(), shingles, found.skipped_buckets().agg(F.count("*").alias("skipped_buckets")))
 
 

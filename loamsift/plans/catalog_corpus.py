@@ -215,8 +215,7 @@ def near_dup_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{_groups_sql(FEW)} SELECT (SELECT count(*) FROM documents)::BIGINT AS documents, (SELECT count(*) FROM member WHERE doc_id <> component)::BIGINT AS removed, (SELECT count(*) FROM cand)::BIGINT AS candidate_pairs,
 (SELECT coalesce(sum(bands), 0) FROM cand)::BIGINT AS candidate_pairs_by_band, (SELECT count(*) FROM pair WHERE jaccard >= 0.5)::BIGINT AS verified_pairs, (SELECT sum(n) FROM sets)::BIGINT AS total_shingles, 0::BIGINT AS skipped_buckets""")
 def near_dup_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
-    return near_dup.totals(near_dup.find(docs, FEW), near_dup.signed(docs, FEW))
+    return near_dup.totals(near_dup.find(documents(spark, sf_dir), FEW))
 
 
 # ---- files and folders -----------------------------------------------------------------------------------------
