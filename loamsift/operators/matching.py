@@ -16,7 +16,7 @@ def token_count(text: Column) -> Column:
 def within_budget(docs: DataFrame, shard: str, key: str, tokens: str, budget: Column, seed: int = 42) -> DataFrame:
     """In seeded order, documents of a shard until exactly ``budget`` tokens: ``docs`` with place, taken (tokens used) and truncated.
 
-    Documents without tokens take no part. The last document gives only what is missing, its text stays whole. A shard with too few tokens gives all; see shortfall.
+    ``docs`` is read twice, so it should be a written table if its tokens are dear. Documents without tokens take no part. The last document gives only what is missing, its text stays whole. A shard with too few tokens gives all; see shortfall.
     """
     own = ranged(docs.where(F.col(tokens) > 0).withColumn("_budget", budget), shard, key, seed)
     # Ranges that begin beyond the budget go before anything is sorted; within a range, sums go on from those of the ranges before it.

@@ -11,7 +11,7 @@ from loamsift.functions import patterns as P
 from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling
 from loamsift.plans import curation
 from loamsift.plans.registry import ORACLES, QUERIES, Query, documents, query, quoted, table
-from loamsift.session import spread
+from loamsift.session import materialize, spread
 from loamsift.sources import readers, sinks, warc
 
 # ---- Gopher ----------------------------------------------------------------------------------------------------
@@ -493,7 +493,7 @@ BUDGET = 5_000
 WINDOW w AS (PARTITION BY source ORDER BY sha1('42|' || source || '|' || doc_id), doc_id))
 SELECT source, doc_id, n AS n_tokens, place::INT AS place, least(n, {BUDGET} - (upto - n))::BIGINT AS taken, least(n, {BUDGET} - (upto - n)) < n AS truncated FROM o WHERE upto - n < {BUDGET}""")
 def token_budget_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = documents(spark, sf_dir).select("source", "doc_id", matching.token_count(F.col("text")).alias("n_tokens"))
+    own = materialize(documents(spark, sf_dir).select("source", "doc_id", matching.token_count(F.col("text")).alias("n_tokens")))
     return matching.within_budget(own, "source", "doc_id", "n_tokens", F.lit(BUDGET).cast("long"))
 
 
