@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from loamsift.functions import html
 from loamsift.functions.gopher import gopher
-from loamsift.functions.text import collapse
 from loamsift.operators import classify, line_dedup, matching, near_dup, reports, sampling, seed_corpus
 from loamsift.plans import curation
 from loamsift.plans.catalog import FEW, GOPHER_SQL, LINES_SQL, LSH_SQL, PII_SQL, _groups_sql
