@@ -14,23 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loamsift.session import materialize, release, scratch_dir, spread  # noqa: F401  (used as C.materialize)
+from loamsift.session import BATCH_BYTES, bound_batches, materialize, release, scratch_dir, spread  # noqa: F401  (used as C.materialize)
 
 SLICE_BYTES = 2 << 20
 PASS_BYTES = 1 << 20
 
 
-#: Texts differ in length by orders of magnitude, so Arrow batches are bounded by bytes, in the JVM and in Python alike.
-BATCH_BYTES = 6 << 20
-_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-
-
-def bound_batches(spark: SparkSession) -> None:
-    """Bound the session's Arrow batches to BATCH_BYTES, unless the cluster's settings name a bound."""
-    if not spark.sparkContext.getConf().contains(_BATCH_SETTING):
-        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of ``sf_dir``; a small one is dealt to all cores (see session.spread)."""
     return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
