@@ -3,13 +3,21 @@
 from __future__ import annotations
 
 import glob
+import hashlib
+import itertools
 import os
+from collections.abc import Iterable, Iterator
+from urllib.parse import quote
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loamsift.operators.sampling import first_rows
+from loamsift.session import bound_batches
 
 #: What Spark's text readers would take as plain text, without an error.
 UNREADABLE = (".xz", ".lzma", ".7z", ".zip")
@@ -108,10 +116,87 @@ def cdx(spark: SparkSession, paths: list[str] | str, drop_robots: bool = True) -
     return cdx_urls(text_lines(spark, paths), "line", drop_robots)
 
 
+#: Token ids that a task reads at a time.
+STRETCH = 1 << 20
+
+
+def _opened(path: str) -> tuple[pafs.FileSystem, str]:
+    """A file's store, as pyarrow knows it, and its name there."""
+    folder, _, name = (path if "://" in path else path.replace(":", "://", 1)).rpartition("/")
+    fs, root = pafs.FileSystem.from_uri(quote(folder, safe="/:@"))
+    return fs, f"{root}/{name}"
+
+
+def _known_store(files: DataFrame) -> bool:
+    """Whether tasks can open these files themselves; only Spark's readers reach every store."""
+    try:
+        return (one := files.select("path").first()) is None or _opened(one["path"])[0] is not None
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+
+
+def _stretches(path: str, length: int) -> Iterator[np.ndarray]:
+    """The ids of a token file in order, a whole number of windows of ``length`` at a time; half an id at its end is none."""
+    fs, name = _opened(path)
+    wanted = 2 * length * max(1, STRETCH // length)
+    with fs.open_input_stream(name, compression=None) as f:
+        while raw := b"".join(_read(f, wanted)):
+            yield np.frombuffer(raw, "<u2", len(raw) // 2).astype(np.int32)
+
+
+def _read(f: pa.NativeFile, wanted: int) -> Iterator[bytes]:
+    while wanted and (part := f.read(wanted)):
+        wanted -= len(part)
+        yield part
+
+
+def _windows(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatch]:
+    for path in itertools.chain.from_iterable(b.column("path").to_pylist() for b in batches):
+        first = 0
+        for ids in _stretches(path, length):
+            n = -(-len(ids) // length)
+            lists = pa.ListArray.from_arrays(pa.array(np.minimum(np.arange(n + 1) * length, len(ids)), pa.int32()), pa.array(ids))
+            yield pa.RecordBatch.from_arrays([pa.array([path] * n, pa.string()), pa.array(np.arange(first, first + n), pa.int32()), lists], names=["path", "window", "tokens"])
+            first += n
+
+
 def token_windows(spark: SparkSession, paths: list[str] | str, length: int) -> DataFrame:
-    """(path, window, tokens): consecutive windows of unsigned 16-bit token files."""
-    data = spark.read.format("binaryFile").load(paths).select("path", "content")
+    """(path, window, tokens): consecutive windows of unsigned 16-bit token files, those of a file in order in one partition.
+
+    Tasks read STRETCH ids at a time; in a store that pyarrow doesn't know, Spark reads each file whole.
+    """
+    files = spark.read.format("binaryFile").load(paths)
+    if _known_store(files):
+        return files.select("path").mapInArrow(lambda it: _windows(it, length), "path string, window int, tokens array<int>")
+    data = files.select("path", "content")
     own = data.select("path", F.posexplode(F.sequence(F.lit(0), (F.length("content") / 2 - 1).cast("int"), F.lit(length))).alias("window", "at"), "content")
     one = lambda i: F.conv(F.hex(F.concat(F.substring(F.col("_part"), i * 2 + 2, 1), F.substring(F.col("_part"), i * 2 + 1, 1))), 16, 10).cast("int")
     cut = own.select("path", "window", F.substr("content", F.col("at") * 2 + 1, F.lit(2 * length)).alias("_part"))
     return cut.select("path", "window", F.transform(F.sequence(F.lit(0), (F.length("_part") / 2 - 1).cast("int")), one).alias("tokens"))
+
+
+def _comma_digits() -> np.ndarray:
+    """For each 16-bit id a comma and its decimal digits, filled up by zeros."""
+    return np.frombuffer(b"".join(f",{i}".encode().ljust(6, b"\0") for i in range(1 << 16)), np.uint8).reshape(-1, 6)
+
+
+def _digests(pairs: Iterable[tuple[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    digits = _comma_digits()
+    for path, own in itertools.groupby(pairs, key=lambda x: x[0]):
+        n, digest = 0, hashlib.md5()
+        for _, ids in own:
+            for at in range(0, len(ids), STRETCH):
+                marks = digits[ids[at : at + STRETCH]].ravel()
+                digest.update(memoryview(marks[marks != 0])[0 if n else 1 :])
+                n += len(ids[at : at + STRETCH])
+        yield pa.RecordBatch.from_pylist([{"path": path, "n": n, "digest": digest.hexdigest()}])
+
+
+def token_digests(spark: SparkSession, paths: list[str] | str, length: int) -> DataFrame:
+    """(path, n, digest): the number of a token file's ids, and the MD5 of all of them in decimal, joined by commas. Windows are taken one after another, so no file is held whole where tasks can read it."""
+    files = spark.read.format("binaryFile").load(paths)
+    if _known_store(files):
+        return files.select("path").mapInArrow(lambda it: _digests((p, ids) for b in it for p in b.column("path").to_pylist() for ids in _stretches(p, length)), "path string, n long, digest string")
+    bound_batches(spark)
+    found = token_windows(spark, paths, length).select("path", "tokens")
+    return found.mapInArrow(lambda it: _digests((p, np.asarray(ids, np.int32)) for b in it for p, ids in zip(b.column("path").to_pylist(), b.column("tokens").to_pylist(), strict=True)), "path string, n long, digest string")

@@ -17,7 +17,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loamsift.session import materialize, qualified
+from loamsift.session import bound_batches, make_dir, materialize, qualified, without_shuffle_files
 
 # Known input extensions, longest first.
 EXTENSIONS = (".jsonl.zst", ".jsonl.gz", ".json.gz", ".jsonl", ".json", ".parquet", ".warc.wet.gz", ".warc.wet")
@@ -135,24 +135,40 @@ def token_bytes(tokens: DataFrame, ids: str = "ids", end: int | None = 50_256) -
 
     @F.pandas_udf("binary")
     def run(own: pd.Series) -> pd.Series:
-        return own.map(lambda x: np.asarray([*x, *([] if end is None else [end])], "<u2").tobytes(), na_action="ignore")
+        return own.map(one, na_action="ignore")
 
+    def one(x: np.ndarray) -> bytes:
+        own = np.concatenate([np.asarray(x, np.int64), tail])
+        if len(own) and not 0 <= own.min() <= own.max() < 1 << 16:
+            raise OverflowError("an id takes more than 16 bits")
+        return own.astype("<u2").tobytes()
+
+    tail = np.asarray([] if end is None else [end], np.int64)
     return tokens.withColumn("bytes", run(F.col(ids)))
 
 
 def write_tokens(tokens: DataFrame, path: str, shard: str = "shard", order: str = "place") -> None:
-    """One .bin file for each shard in ``path``, a shared folder: the ``bytes`` of its rows in order, streamed."""
-    folder = qualified(tokens.sparkSession, path)
+    """One .bin file for each shard in ``path``, a shared folder: the ``bytes`` of its rows in order, streamed. Rows without bytes have no tokens; without rows the folder is empty."""
+    spark, folder = tokens.sparkSession, qualified(tokens.sparkSession, path)
+    bound_batches(spark)
+    make_dir(spark, folder)
+
+    @F.pandas_udf("binary")
+    def packed(own: pd.Series) -> pd.Series:  # 16-bit ids shrink to a quarter or so, and a shard's rows are sorted together
+        return own.map(zstandard.ZstdCompressor(level=1).compress)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = ((s, b) for own in frames for s, b in zip(own[shard], own["bytes"], strict=True))
+        unpacked = zstandard.ZstdDecompressor().decompress
+        rows = ((s, unpacked(b)) for own in frames for s, b in zip(own[shard], own["bytes"], strict=True))
         for name, own in itertools.groupby(rows, key=lambda x: x[0]):
             with _whole_file(folder, f"{name}.bin") as f:
                 for _, b in own:
-                    f.write(bytes(b))
+                    f.write(b)
         yield pd.DataFrame({"n": [0]})
 
-    tokens.select(shard, order, "bytes").repartition(shard).sortWithinPartitions(shard, order).mapInPandas(run, "n long").agg(F.sum("n")).collect()
+    dealt = tokens.where("bytes IS NOT NULL").select(shard, order, packed("bytes").alias("bytes")).repartition(shard).sortWithinPartitions(shard, order)
+    with without_shuffle_files(spark):
+        dealt.mapInPandas(run, "n long").agg(F.sum("n")).collect()
 
 
 def write_metrics(spark: SparkSession, metrics: dict, path: str) -> None:

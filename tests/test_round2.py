@@ -8,6 +8,7 @@ from collections import Counter
 from loamsift.functions import text
 from loamsift.operators import near_dup
 from loamsift.plans import catalog, catalog_corpus  # noqa: F401  (both register queries)
+from loamsift.sources import readers, sinks
 
 
 def plan_of(df) -> str:
@@ -26,3 +27,27 @@ def test_shingle_counts_hold_no_arrays_of_strings(spark, sf):
     query = catalog.QUERIES["shingle_hash"](spark, sf)
     assert "Generate" not in plan_of(query)  # no text's shingles as an array of strings
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == str(6 << 20)
+
+
+def test_token_files_are_digested_as_streams(spark, tmp_path):
+    rows = [("s0", 0, [1, 2]), ("s0", 1, []), ("s0", 2, None), ("s 1", 3, list(range(65_536)))]
+    tokens = spark.createDataFrame(rows, "shard string, place int, ids array<int>")
+    path = str(tmp_path / "bin")
+    sinks.write_tokens(sinks.token_bytes(tokens), path)
+    want = {"s0": [1, 2, 50_256, 50_256], "s 1": [*range(65_536), 50_256]}
+    found = readers.token_digests(spark, path, 1_000)
+    assert {r.path.rsplit("/", 1)[1]: (r.n, r.digest) for r in found.collect()} == {f"{k}.bin": (len(v), hashlib.md5(",".join(map(str, v)).encode()).hexdigest()) for k, v in want.items()}
+    windows = readers.token_windows(spark, path, 1_000).where("path LIKE '%1.bin'").orderBy("window").collect()
+    assert [r.window for r in windows] == list(range(66)) and [x for r in windows for x in r.tokens] == want["s 1"]
+    readers._known_store, known = lambda files: False, readers._known_store  # a store that only Spark reads
+    try:
+        assert sorted(readers.token_digests(spark, path, 1_000).collect()) == sorted(found.collect())
+    finally:
+        readers._known_store = known
+    sinks.write_tokens(sinks.token_bytes(tokens.limit(0)), str(tmp_path / "none"))
+    assert readers.token_digests(spark, str(tmp_path / "none"), 1_000).count() == 0
+
+
+def test_token_files_collect_no_shard(spark, sf):
+    plan = plan_of(catalog.QUERIES["token_files"](spark, sf))
+    assert "collect_list" not in plan and "Exchange" not in plan
