@@ -18,7 +18,8 @@ STAGES = ["missing_text", "empty_text", "language", "gopher", "quality", "nsfw",
 
 @dataclass
 class Plan:
-    """Which stages run. A model that is None switches its stage off. ``drop_empty=False`` keeps texts that are empty (after extraction) past all stages."""
+    """Which stages run. A model that is None switches its stage off. ``drop_empty=False`` keeps texts that are empty (after extraction) past all stages;
+    ``judge_empty=True`` sends empty and null ones through the stages as any other."""
 
     extract_html: bool = True
     language: classify.Model | None = None
@@ -29,6 +30,7 @@ class Plan:
     toxic: classify.Model | None = None
     mask_pii: bool = True
     drop_empty: bool = True
+    judge_empty: bool = False
     near_duplicates: Settings | None = None
     extra: dict = field(default_factory=dict)
 
@@ -44,29 +46,31 @@ def decisions(docs: DataFrame, plan: Plan, text: str = "text") -> DataFrame:
         tagged = F.when(~F.col("html_type").isin("none", "empty", "plain_text"), F.col(text))
         own = own.withColumn("_extracted", html.extract(tagged)).withColumn(text, F.coalesce("_extracted", text)).drop("_extracted")
     body = F.col(text)
-    removed: Column = F.when(body.isNull(), "missing_text")
-    if plan.drop_empty:
+    removed, judged, judge = F.when(body.isNull(), "missing_text"), body != "", plan.judge_empty
+    if judge:
+        removed, judged = F.lit(None).cast("string"), F.lit(True)
+    elif plan.drop_empty:
         removed = removed.when(body == "", "empty_text")
     own = own.withColumn("removed_by", removed)
-    alive = F.when(F.col("removed_by").isNull() & (body != ""), body)
+    alive = F.when(F.col("removed_by").isNull() & judged, body)
 
     def settle(frame: DataFrame, stage: str, keep: Column) -> DataFrame:
-        return frame.withColumn("removed_by", F.coalesce("removed_by", F.when((body != "") & ~F.coalesce(keep, F.lit(False)), stage)))
+        return frame.withColumn("removed_by", F.coalesce("removed_by", F.when(judged & ~F.coalesce(keep, F.lit(False)), stage)))
 
     if plan.language_column:
         own = own.withColumns({"detected_language": F.col(plan.language_column), "language_score": F.lit(1.0)})
         own = settle(own, "language", F.col("detected_language") == "en")
     elif plan.language:
-        own = own.withColumn("_l", classify.identify_language(spark, plan.language, alive))
+        own = own.withColumn("_l", classify.identify_language(spark, plan.language, alive, judge_empty=judge))
         own = own.withColumns({"detected_language": F.col("_l.label"), "language_score": F.col("_l.score")})
         own = settle(own, "language", classify.is_english(F.col("_l"))).drop("_l")
     if plan.gopher:
-        made = gopher(own, text)
+        made = gopher(own, text, judge)
         own = settle(made, "gopher", F.col("passed")).select(*own.columns, "failed_checks")
     for stage, model in (("quality", plan.quality), ("nsfw", plan.nsfw), ("toxic", plan.toxic)):
         if model is None:
             continue
-        found = classify.classify_quality(spark, model, alive) if stage == "quality" else classify.classify_content(spark, model, alive, stage)
+        found = classify.classify_quality(spark, model, alive, judge) if stage == "quality" else classify.classify_content(spark, model, alive, stage, judge_empty=judge)
         own = own.withColumn("_f", found).withColumns({f"{stage}_label": F.col("_f.label"), f"{stage}_score": F.col("_f.score")})
         good = F.col("_f.label") == "positive" if stage == "quality" else F.col("_f.label") != stage
         own = settle(own, stage, good).drop("_f")

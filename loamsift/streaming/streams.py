@@ -22,8 +22,8 @@ def first_seen(docs: DataFrame, time: str, delay: str = "1 hour", text: str = "t
     return keyed.dropDuplicates(["_hash"]).drop("_hash")
 
 
-def rejections(docs: DataFrame, time: str, window: str = "10 minutes", delay: str = "1 hour", text: str = "text") -> DataFrame:
+def rejections(docs: DataFrame, time: str, window: str = "10 minutes", delay: str = "1 hour", text: str = "text", judge_empty: bool = False) -> DataFrame:
     """(start, check, count) of failed rules in windows of event time."""
-    failed = gopher(docs, text).select(time, F.explode("failed_checks").alias("check"))
+    failed = gopher(docs, text, judge_empty).select(time, F.explode("failed_checks").alias("check"))
     own = failed.withWatermark(time, delay) if docs.isStreaming else failed
     return own.groupBy(F.window(time, window).alias("w"), "check").agg(F.count("*").alias("count")).select(F.col("w.start").alias("start"), "check", "count")
