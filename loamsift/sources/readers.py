@@ -104,6 +104,18 @@ def whole_files(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     return spark.read.text(_checked(paths), wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
+def empty_files(names: DataFrame, path: str) -> DataFrame:
+    """(name): those of ``names`` that are files without bytes in the folder ``path``, which Spark's file index leaves out; the tasks ask the store."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = b.column("name").to_pylist()
+            infos = [fs.get_file_info(name) for fs, name in (_opened(f"{path}/{n}") for n in own)]
+            yield pa.RecordBatch.from_pydict({"name": pa.array([n for n, i in zip(own, infos, strict=True) if i.is_file and i.size == 0], pa.string())})
+
+    return names.select("name").mapInArrow(run, "name string")
+
+
 def cdx_urls(lines: DataFrame, column: str = "line", drop_robots: bool = True) -> DataFrame:
     """(url): of index lines ``key timestamp {json}``; lines without an object or url are dropped, and robots.txt files if asked."""
     body = F.when(F.instr(column, "{") > 0, F.substr(F.col(column), F.instr(column, "{")))
